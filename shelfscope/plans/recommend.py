@@ -1,0 +1,162 @@
+"""Seller recommendations, the company gap report and checks on both."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import exact_avg, round_half_up
+from ..functions.numeric import Rounding
+from ..operators import items, pairs
+from ..staging import Staged, stage
+
+RECOMMENDATION_COLUMNS = (
+    "seller_id",
+    "item_id",
+    "item_name",
+    "category",
+    "market_price",
+    "expected_units_sold",
+    "expected_revenue",
+)
+
+
+def _finite_or_zero(value: Column) -> Column:
+    return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
+
+
+def _seller_counts(stock: Staged) -> DataFrame:
+    """Distinct sellers per listed item, from the already reduced stock."""
+    return (
+        stock.frame.filter("slot IS NOT NULL AND seller_id IS NOT NULL")
+        .groupBy("chunk", "slot")
+        .agg(F.count(F.lit(1)).alias("company_seller_count"))
+    )
+
+
+def _priced(listed: DataFrame, rounding: Rounding) -> DataFrame:
+    """Price, expected units and expected revenue per listed item.
+
+    Company figures win wherever the company sold the item. Revenue multiplies
+    the unrounded figures. An item without an id has no metrics.
+    """
+    known = F.col("item_id").isNotNull()
+
+    def first_of(*names: str) -> Column:
+        return F.coalesce(*(F.when(known, F.col(name)) for name in names), F.lit(0.0))
+
+    price = first_of("company_market_price", "competitor_market_price")
+    units = first_of("company_expected_units", "competitor_expected_units")
+    return items.with_company_expectation(listed).select(
+        "chunk",
+        "slot",
+        "item_id",
+        "item_name",
+        "category",
+        rounding(price).alias("market_price"),
+        rounding(units).alias("expected_units_sold"),
+        _finite_or_zero(rounding(units * price)).alias("expected_revenue"),
+    )
+
+
+def _recommend(
+    seller_catalog: DataFrame, shortlist: DataFrame, rounding: Rounding, compact_items: int
+) -> DataFrame:
+    listed = pairs.assign_slots(stage(shortlist, "shortlist"), compact_items)
+    stock = pairs.stocked_slots(seller_catalog, listed)
+    counted = listed.frame.join(_seller_counts(stock), ["chunk", "slot"], "left")
+    priced = stage(_priced(counted, rounding), "priced").frame
+    found = pairs.expand_open_slots(stock, listed, priced).select(*RECOMMENDATION_COLUMNS)
+    order = ["seller_id", F.desc("expected_revenue"), "item_id", "category", "item_name"]
+    if listed.is_compact:
+        # Already range-partitioned by seller, so sorting inside each partition
+        # is a global sort that does not move the expanded rows.
+        return found.sortWithinPartitions(*order)
+    return found.orderBy(*order)
+
+
+def recommend(
+    seller_catalog: DataFrame,
+    company_sales: DataFrame,
+    competitor_sales: DataFrame,
+    top_n: int = 10,
+    rounding: Rounding = round_half_up,
+    compact_items: int = pairs.COMPACT_ITEMS,
+) -> DataFrame:
+    """Top items each seller does not stock, by seller and expected revenue.
+
+    Reads each sales table once and the catalog twice. Three small tables are
+    written on the way: the top list, the sellers' held slots and the priced list.
+    """
+    shortlist = items.shortlist(seller_catalog, company_sales, competitor_sales, top_n)
+    return _recommend(seller_catalog, shortlist, rounding, compact_items)
+
+
+def generate_recommendations(
+    seller_catalog: DataFrame,
+    company_sales: DataFrame,
+    top_company_items: DataFrame,
+    top_competitor_items: DataFrame,
+    competitor_sales: DataFrame,
+    rounding: Rounding = round_half_up,
+    compact_items: int = pairs.COMPACT_ITEMS,
+) -> DataFrame:
+    """The same for top lists chosen by the caller."""
+    top_items = items.all_top_items(top_company_items, top_competitor_items)
+    chosen = stage(top_items, "top-items").frame
+    shortlist = items.shortlist_from_lists(company_sales, competitor_sales, chosen)
+    return _recommend(seller_catalog, shortlist, rounding, compact_items)
+
+
+def company_gap(
+    top_competitor_items: DataFrame,
+    seller_catalog: DataFrame,
+    rounding: Rounding = round_half_up,
+) -> DataFrame:
+    """Top competitor items that no seller of the catalog stocks."""
+    stocked = items.distinct_catalog_items(seller_catalog)
+    return top_competitor_items.join(stocked, "item_id", "left_anti").select(
+        "item_id",
+        "item_name",
+        "category",
+        "total_units_sold",
+        rounding(F.col("avg_marketplace_price")).alias("market_price"),
+        rounding(F.col("expected_units_sold")).alias("expected_units_sold"),
+    )
+
+
+def recommendation_checks(recommendations: DataFrame) -> DataFrame:
+    """Violation counts in one pass, and whether all of them are zero."""
+    violations = {
+        "negative_revenue": F.col("expected_revenue") < 0,
+        "nonpositive_units": F.col("expected_units_sold") <= 0,
+        "nonpositive_price": F.col("market_price") <= 0,
+        "null_seller_id": F.col("seller_id").isNull(),
+        "null_item_id": F.col("item_id").isNull(),
+        "null_revenue": F.col("expected_revenue").isNull(),
+    }
+    counts = recommendations.agg(*(F.count_if(p).alias(n) for n, p in violations.items()))
+    passed = F.lit(True)
+    for name in violations:
+        passed = passed & (F.col(name) == 0)
+    return counts.select(*violations, passed.alias("passed"))
+
+
+def recommendation_stats(
+    recommendations: DataFrame, rounding: Rounding = round_half_up
+) -> DataFrame:
+    """Size and revenue statistics; an empty input gives a row of zeros and NULLs."""
+    revenue = F.col("expected_revenue")
+    return recommendations.agg(
+        F.count(F.lit(1)).alias("total_recommendations"),
+        F.count_distinct("seller_id").alias("unique_sellers"),
+        F.count_distinct("item_id").alias("unique_items"),
+        rounding(exact_avg(revenue)).alias("avg_revenue"),
+        F.max(revenue).alias("max_revenue"),
+        F.min(revenue).alias("min_revenue"),
+    )
+
+
+def validate_recommendations(recommendations: DataFrame) -> bool:
+    """Whether every check passes."""
+    return recommendation_checks(recommendations).first()["passed"]
