@@ -51,8 +51,8 @@ def _clean_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def _write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> str:
-    """Write strings as they are, surrounding blanks included."""
-    df.write.mode(mode).option("header", header).option("ignoreLeadingWhiteSpace", False).option(
+    """Write strings as they are, surrounding blanks included, in files of even size."""
+    df.hint("rebalance").write.mode(mode).option("header", header).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
     return path

@@ -7,24 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Wide enough for 20 digits before the point; sums keep 30.
-EXACT_TYPE = "decimal(28,8)"
-
 Rounding = Callable[[Column], Column]
 
 
+_LOW_BITS = 20
+
+
 def exact_sum(value: Column) -> Column:
     """Sum of a double column that does not depend on the order of the rows.
 
     Adding doubles in a different order changes the last bits, so two runs over
-    differently partitioned data disagree. Values that fit ``EXACT_TYPE`` are
-    added as decimals; the rest (NaN, infinities, huge magnitudes) are added as
-    doubles and then take part as usual, so a NaN still makes the sum NaN.
+    differently partitioned data disagree. The sum is taken on decimal values
+    instead, in three parts:
+
+    * amounts below 1e10 with at most two decimals, which is what money looks
+      like, as whole cents in 64-bit integers. High and low bits are summed
+      apart, so neither sum can overflow below 9e12 rows per group;
+    * other finite values below 1e20, as decimals with eight places;
+    * NaN, infinities and larger values, as doubles. They make the total what a
+      plain sum would make it.
     """
-    exact = value.try_cast(EXACT_TYPE)
-    total = F.sum(exact).cast("double")
-    outside = F.sum(F.when(value.isNotNull() & exact.isNull(), value))
-    return F.coalesce(outside + F.coalesce(total, F.lit(0.0)), total)
+    cents = F.rint(value * 100)
+    is_money = (F.abs(value) < 1e10) & (cents / 100 == value)
+    units = F.when(is_money, cents).cast("bigint")
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(19,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(19,0)")
+    all_cents = high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low
+    money = (all_cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(28,2)")
+
+    other = F.when(~is_money, value)
+    rest = F.sum(other.try_cast("decimal(28,8)")).cast("decimal(36,8)")
+    outside = F.sum(F.when(F.abs(other) >= 1e20, other))
+
+    exact = F.coalesce(money + rest, money, rest).cast("double")
+    return F.coalesce(outside + exact, outside, exact)
 
 
 def exact_avg(value: Column) -> Column:

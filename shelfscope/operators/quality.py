@@ -44,10 +44,15 @@ def check_quality(
     as_of: Column | None = None,
     extra_rules: tuple[Rule, ...] = (),
 ) -> DataFrame:
-    """Cleaned rows with their ``dq_failure_reason``."""
-    return df.select(
-        *spec.columns, failure_reason(spec, as_of, extra_rules).alias(REASON_COLUMN)
-    )
+    """Cleaned rows with their ``dq_failure_reason``.
+
+    The row is built as one struct and unpacked again. That keeps a later filter
+    on the reason from being pushed below the cleaning, where it would repeat
+    every cleaning expression per rule: several times the work, in generated code
+    too long for the JVM to compile.
+    """
+    reason = failure_reason(spec, as_of, extra_rules).alias(REASON_COLUMN)
+    return df.select(F.inline(F.array(F.struct(*spec.columns, reason))))
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Whole jobs composed from the operators."""
 
 from .etl import EtlRun, run_etl, run_etl_from_csv, trusted_rows
-from .recommend import (
+from .recommendations import (
     company_gap,
     generate_recommendations,
     recommend,

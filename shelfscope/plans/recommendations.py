@@ -65,7 +65,7 @@ def _recommend(
     listed = pairs.assign_slots(stage(shortlist, "shortlist"), compact_items)
     stock = pairs.stocked_slots(seller_catalog, listed)
     counted = listed.frame.join(_seller_counts(stock), ["chunk", "slot"], "left")
-    priced = stage(_priced(counted, rounding), "priced").frame
+    priced = _priced(counted, rounding)
     found = pairs.expand_open_slots(stock, listed, priced).select(*RECOMMENDATION_COLUMNS)
     order = ["seller_id", F.desc("expected_revenue"), "item_id", "category", "item_name"]
     if listed.is_compact:
@@ -85,8 +85,8 @@ def recommend(
 ) -> DataFrame:
     """Top items each seller does not stock, by seller and expected revenue.
 
-    Reads each sales table once and the catalog twice. Three small tables are
-    written on the way: the top list, the sellers' held slots and the priced list.
+    Reads each sales table once and the catalog twice. Two small tables are
+    written on the way: the top list and the sellers' held slots.
     """
     shortlist = items.shortlist(seller_catalog, company_sales, competitor_sales, top_n)
     return _recommend(seller_catalog, shortlist, rounding, compact_items)

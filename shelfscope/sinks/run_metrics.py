@@ -95,8 +95,8 @@ class RunMetrics:
 
 
 def write_run_metrics(metrics: DataFrame, path: str) -> None:
-    """Append the run to the metrics folder, one JSON record per run."""
-    metrics.write.mode("append").json(path)
+    """Append the run, a single row, to the metrics folder as one JSON file."""
+    metrics.coalesce(1).write.mode("append").json(path)
 
 
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..specs import DatasetSpec
 from .files import csv_glob
 
-INVENTORY_SCHEMA = "path string, size_bytes bigint"
+INVENTORY_SCHEMA = "path string, size_bytes bigint, is_empty boolean"
 
 
 def _same_form(path: Column) -> Column:
@@ -42,11 +42,11 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
         if not _no_match(error):
             raise
         listed = []
+    if not listed:
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
     names = spark.createDataFrame([(name,) for name in listed], "listed string").select(
         _same_form(F.col("listed")).alias("path")
     )
-    if not listed:
-        return names.select("path", F.lit(None).cast("bigint").alias("size_bytes"), F.lit(None).cast("boolean").alias("is_empty"))
     # The path column of this source is not percent-encoded.
     sized = (
         spark.read.format("binaryFile")
@@ -80,13 +80,19 @@ def line_profile(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame
     is right if the smallest id among the lines equal to the expected header is
     that same id.
     """
-    first_block = F.col("_metadata.file_block_start") == 0
-    line_id = F.monotonically_increasing_id()
     expected = F.replace("value", F.lit('"'), F.lit("")) == F.lit(spec.header_line)
-    lines = spark.read.text(csv_glob(path)).select(
+    # Numbered in a projection of its own: inside a condition the id would count
+    # only the lines for which the condition is evaluated.
+    numbered = spark.read.text(csv_glob(path)).select(
         F.col("_metadata.file_path").alias("listed"),
-        F.when(first_block, line_id).alias("line_id"),
-        F.when(first_block & expected, line_id).alias("header_id"),
+        (F.col("_metadata.file_block_start") == 0).alias("first_block"),
+        expected.alias("is_header"),
+        F.monotonically_increasing_id().alias("line_id"),
+    )
+    lines = numbered.select(
+        "listed",
+        F.when(F.col("first_block"), F.col("line_id")).alias("line_id"),
+        F.when(F.col("first_block") & F.col("is_header"), F.col("line_id")).alias("header_id"),
     )
     profile = lines.groupBy("listed").agg(
         F.count(F.lit(1)).alias("n_lines"),
