@@ -249,6 +249,10 @@ def _merge_oracles() -> dict[str, str]:
     return {
         "merge_catalog": _with(_MERGED),
         "merge_replay": _with(_MERGED),
+        "upsert_snapshot": _with(
+            "SELECT *, 'Item ' || item_id AS item_name, 'Shelf ' || right(item_id, 1) AS category "
+            f"FROM ({_MERGED})"
+        ),
         "merge_summary": _with(
             "SELECT COUNT(*) FILTER (WHERE b.item_id IS NULL) AS inserts, "
             "COUNT(*) FILTER (WHERE b.item_id IS NOT NULL AND d.item_id IS NOT NULL) AS updates, "
@@ -408,6 +412,8 @@ def _analytics_oracles() -> dict[str, str]:
         "seller_recommendations_keyed": over("recommendations", keyed),
         "end_to_end_recommendations": over("recommendations", raw),
         "recommendations_csv": over("recommendations"),
+        "published_recommendations": over("recommendations"),
+        "published_gap": over("gap"),
         "company_gap": over("gap"),
         "gap_csv": over("gap"),
         "recommendation_checks": _with(

@@ -232,6 +232,26 @@ def merge_replay(spark, sf_dir):
     return ops.merge(once, second, CATALOG_KEYS, "marketplace_price")
 
 
+@query("upsert_snapshot")
+def upsert_snapshot(spark, sf_dir):
+    """The catalog of one day's lines, then the other's upserted into a new folder."""
+    root = fresh_path(spark, "upsert")
+    first, second = (
+        fixture(spark, sf_dir, name).select(
+            "seller_id",
+            "item_id",
+            F.concat(F.lit("Item "), "item_id").alias("item_name"),
+            F.concat(F.lit("Shelf "), F.substring("item_id", -1, 1)).alias("category"),
+            "marketplace_price",
+            "stock_qty",
+        )
+        for name in ("fx_catalog_day1", "fx_catalog_day2")
+    )
+    sinks.write_snapshot(first, SELLER_CATALOG, f"{root}/v1")
+    plans.upsert_snapshot(spark, SELLER_CATALOG, f"{root}/v1", second, f"{root}/v2")
+    return sources.read_snapshot(spark, SELLER_CATALOG, f"{root}/v2")
+
+
 @query("merge_summary")
 def merge_summary(spark, sf_dir):
     return ops.merge_summary(*_days(spark, sf_dir), CATALOG_KEYS)
@@ -463,6 +483,23 @@ def recommendation_stats(spark, sf_dir):
     return plans.recommendation_stats(plans.recommend(*_clean_inputs(spark, sf_dir)))
 
 
+def _publish(spark, sf_dir) -> plans.RecommendationRun:
+    root = fresh_path(spark, "published")
+    return plans.publish_recommendations(
+        *_clean_inputs(spark, sf_dir), f"{root}/recommendations", f"{root}/company_catalog_gap"
+    )
+
+
+@query("published_recommendations")
+def published_recommendations(spark, sf_dir):
+    return _publish(spark, sf_dir).recommendations
+
+
+@query("published_gap")
+def published_gap(spark, sf_dir):
+    return _publish(spark, sf_dir).gap
+
+
 # --- run metrics ------------------------------------------------------------------
 
 

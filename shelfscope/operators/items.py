@@ -176,10 +176,11 @@ def shortlist(
     """Both top lists with their metrics, from one pass over each sales table.
 
     Gives the rows of ``all_top_items`` joined to ``item_metrics`` (without the
-    seller counts of the catalog). Item totals of both sides meet on ``item_id``,
-    by which both are already partitioned, and each item then stands as a
-    candidate in up to two rankings: its category's, by company units, and the
-    overall one, by competitor units. One group limit serves both.
+    seller counts of the catalog), and whether each came in by the competitor
+    ranking. Item totals of both sides meet on ``item_id``, by which both are
+    already partitioned, and each item then stands as a candidate in up to two
+    rankings: its category's, by company units, and the overall one, by competitor
+    units. One group limit serves both.
     """
     facts = (
         _company_totals(company_sales)
@@ -206,18 +207,22 @@ def shortlist(
         ),
     )
     best_first = Window.partitionBy("ranking", "section").orderBy(F.desc("units"), *ITEM_COLUMNS)
+    metrics = (
+        "company_total_units",
+        "company_market_price",
+        "competitor_total_units",
+        "competitor_market_price",
+        "competitor_expected_units",
+    )
     return (
         facts.select("*", F.inline(candidacies))
         .filter("listed")
         .withColumn("place", F.row_number().over(best_first))
         .filter(F.col("place") <= top_n)
-        .dropDuplicates(list(ITEM_COLUMNS))
-        .select(
-            *ITEM_COLUMNS,
-            "company_total_units",
-            "company_market_price",
-            "competitor_market_price",
-            "competitor_expected_units",
+        .groupBy(*ITEM_COLUMNS)
+        .agg(
+            *(F.first(name).alias(name) for name in metrics),
+            F.bool_or(F.col("ranking") == "competitor").alias("top_competitor"),
         )
     )
 

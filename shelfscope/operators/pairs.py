@@ -63,15 +63,14 @@ def stocked_slots(seller_catalog: DataFrame, items: SlottedItems) -> Staged:
     a seller nor an item that fills the catalog makes a large group.
     """
     matched = seller_catalog.select("seller_id", "item_id").join(items.slots, "item_id", "left")
-    held = matched.select(
-        "seller_id", "chunk", F.when(F.col("seller_id").isNotNull(), F.col("slot")).alias("slot")
-    ).distinct()
+    held = matched.select("seller_id", "chunk", "slot").distinct()
     return stage(held, "stock", sellers=F.approx_count_distinct("seller_id"))
 
 
 def _open_slots(held: DataFrame, items: SlottedItems, tasks: int) -> DataFrame:
     """``(seller_id, chunk, slot)`` for every slot a seller does not hold.
 
+    A NULL seller holds nothing, as it equals no seller.
     Spread over ``tasks`` range partitions of ``seller_id`` before the explode:
     the partitions are sized by what they will produce, not by what goes in.
     """
@@ -82,7 +81,7 @@ def _open_slots(held: DataFrame, items: SlottedItems, tasks: int) -> DataFrame:
         .select("seller_id", every_chunk, F.lit(None).cast("int").alias("slot"))
     )
     per_cell = (
-        held.filter("slot IS NOT NULL")
+        held.filter("slot IS NOT NULL AND seller_id IS NOT NULL")
         .unionByName(cells)
         .groupBy("seller_id", "chunk")
         .agg(F.collect_list("slot").alias("held"))

@@ -1,9 +1,12 @@
 """Whole jobs composed from the operators."""
 
 from .etl import EtlRun, run_etl, run_etl_from_csv, trusted_rows
+from .incremental import upsert_snapshot
 from .recommendations import (
+    RecommendationRun,
     company_gap,
     generate_recommendations,
+    publish_recommendations,
     recommend,
     recommendation_checks,
     recommendation_stats,
@@ -12,13 +15,16 @@ from .recommendations import (
 
 __all__ = [
     "EtlRun",
+    "RecommendationRun",
     "company_gap",
     "generate_recommendations",
+    "publish_recommendations",
     "recommend",
     "recommendation_checks",
     "recommendation_stats",
     "run_etl",
     "run_etl_from_csv",
     "trusted_rows",
+    "upsert_snapshot",
     "validate_recommendations",
 ]

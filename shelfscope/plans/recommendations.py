@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact_avg, round_half_up
 from ..functions.numeric import Rounding
 from ..operators import items, pairs
+from ..sinks import read_gap, read_recommendations, write_company_gap, write_recommendations
 from ..staging import Staged, stage
 
 RECOMMENDATION_COLUMNS = (
@@ -59,20 +62,29 @@ def _priced(listed: DataFrame, rounding: Rounding) -> DataFrame:
     )
 
 
-def _recommend(
-    seller_catalog: DataFrame, shortlist: DataFrame, rounding: Rounding, compact_items: int
-) -> DataFrame:
+@dataclass(frozen=True)
+class _Prepared:
+    """The two written tables everything else is derived from."""
+
+    listed: pairs.SlottedItems
+    stock: Staged
+
+
+def _prepare(seller_catalog: DataFrame, shortlist: DataFrame, compact_items: int) -> _Prepared:
     listed = pairs.assign_slots(stage(shortlist, "shortlist"), compact_items)
-    stock = pairs.stocked_slots(seller_catalog, listed)
+    return _Prepared(listed, pairs.stocked_slots(seller_catalog, listed))
+
+
+def _recommendations(prepared: _Prepared, rounding: Rounding) -> DataFrame:
+    listed, stock = prepared.listed, prepared.stock
     counted = listed.frame.join(_seller_counts(stock), ["chunk", "slot"], "left")
-    priced = _priced(counted, rounding)
-    found = pairs.expand_open_slots(stock, listed, priced).select(*RECOMMENDATION_COLUMNS)
+    found = pairs.expand_open_slots(stock, listed, _priced(counted, rounding))
     order = ["seller_id", F.desc("expected_revenue"), "item_id", "category", "item_name"]
     if listed.is_compact:
         # Already range-partitioned by seller, so sorting inside each partition
         # is a global sort that does not move the expanded rows.
-        return found.sortWithinPartitions(*order)
-    return found.orderBy(*order)
+        return found.select(*RECOMMENDATION_COLUMNS).sortWithinPartitions(*order)
+    return found.select(*RECOMMENDATION_COLUMNS).orderBy(*order)
 
 
 def recommend(
@@ -89,7 +101,7 @@ def recommend(
     written on the way: the top list and the sellers' held slots.
     """
     shortlist = items.shortlist(seller_catalog, company_sales, competitor_sales, top_n)
-    return _recommend(seller_catalog, shortlist, rounding, compact_items)
+    return _recommendations(_prepare(seller_catalog, shortlist, compact_items), rounding)
 
 
 def generate_recommendations(
@@ -105,7 +117,7 @@ def generate_recommendations(
     top_items = items.all_top_items(top_company_items, top_competitor_items)
     chosen = stage(top_items, "top-items").frame
     shortlist = items.shortlist_from_lists(company_sales, competitor_sales, chosen)
-    return _recommend(seller_catalog, shortlist, rounding, compact_items)
+    return _recommendations(_prepare(seller_catalog, shortlist, compact_items), rounding)
 
 
 def company_gap(
@@ -160,3 +172,59 @@ def recommendation_stats(
 def validate_recommendations(recommendations: DataFrame) -> bool:
     """Whether every check passes."""
     return recommendation_checks(recommendations).first()["passed"]
+
+
+@dataclass(frozen=True)
+class RecommendationRun:
+    """The written reports and one row each of checks and statistics."""
+
+    recommendations: DataFrame
+    gap: DataFrame | None
+    checks: DataFrame
+    stats: DataFrame
+
+
+def _listed_gap(prepared: _Prepared, rounding: Rounding) -> DataFrame:
+    """:func:`company_gap` from the written tables: listed items in nobody's stock."""
+    stocked = prepared.stock.frame.select("chunk", "slot").distinct()
+    return (
+        prepared.listed.frame.filter("top_competitor")
+        .join(stocked, ["chunk", "slot"], "left_anti")
+        .select(
+            "item_id",
+            "item_name",
+            "category",
+            F.col("competitor_total_units").alias("total_units_sold"),
+            rounding(F.col("competitor_market_price")).alias("market_price"),
+            rounding(F.col("competitor_expected_units")).alias("expected_units_sold"),
+        )
+    )
+
+
+def publish_recommendations(
+    seller_catalog: DataFrame,
+    company_sales: DataFrame,
+    competitor_sales: DataFrame,
+    output_path: str,
+    gap_path: str,
+    top_n: int = 10,
+    rounding: Rounding = round_half_up,
+    single_file: bool = False,
+) -> RecommendationRun:
+    """The whole reporting job: both CSV reports, checks and statistics.
+
+    Each sales table is read once and the catalog twice for all of it; the checks
+    read the report that was written instead of computing it again.
+    """
+    spark = seller_catalog.sparkSession
+    shortlist = items.shortlist(seller_catalog, company_sales, competitor_sales, top_n)
+    prepared = _prepare(seller_catalog, shortlist, pairs.COMPACT_ITEMS)
+    write_recommendations(_recommendations(prepared, rounding), output_path, single_file)
+    has_gap = write_company_gap(_listed_gap(prepared, rounding), gap_path, single_file)
+    written = read_recommendations(spark, output_path)
+    return RecommendationRun(
+        recommendations=written,
+        gap=read_gap(spark, gap_path) if has_gap else None,
+        checks=recommendation_checks(written),
+        stats=recommendation_stats(written, rounding),
+    )

@@ -1,9 +1,11 @@
 """Incremental merges and the commit log on small tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from shelfscope import SELLER_CATALOG
 from shelfscope import operators as ops
-from shelfscope import sinks, sources
+from shelfscope import plans, sinks, sources
 
 KEYS = ["seller_id", "item_id"]
 SCHEMA = "seller_id string, item_id string, marketplace_price double, stock_qty int"
@@ -70,3 +72,23 @@ def test_commit_log_reads_any_instant(spark, tmp_path):
         ("20250102000000000", 2),
     ]
     assert "PartitionFilters: [isnotnull(commit_time" in between._jdf.queryExecution().toString()
+
+
+def test_upsert_writes_a_new_version(spark, tmp_path):
+    schema = SELLER_CATALOG.typed_schema
+    base = spark.createDataFrame([("S1", "I1", "Lamp", "Home", 1.0, 1), ("S1", "I2", "Desk", "Home", 1.0, 1)], schema)
+    batch = spark.createDataFrame(
+        [("S1", "I2", "Desk", "Office", 2.0, 1), ("S1", "I2", "Desk", "Home", 1.5, 1), ("S2", "I1", "Lamp", "Home", 1.0, 1)],
+        schema,
+    )
+    paths = f"{tmp_path}/v1", f"{tmp_path}/v2"
+    sinks.write_snapshot(base, SELLER_CATALOG, paths[0])
+    summary = plans.upsert_snapshot(spark, SELLER_CATALOG, paths[0], batch, paths[1])
+    assert tuple(summary.first()) == (1, 1, 3)
+    assert _rows(sources.read_snapshot(spark, SELLER_CATALOG, paths[1])) == [
+        ("S1", "I1", "Lamp", "Home", 1.0, 1),
+        ("S1", "I2", "Desk", "Office", 2.0, 1),
+        ("S2", "I1", "Lamp", "Home", 1.0, 1),
+    ]
+    with pytest.raises(ValueError, match="new path"):
+        plans.upsert_snapshot(spark, SELLER_CATALOG, paths[0], batch, paths[0] + "/")

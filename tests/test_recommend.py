@@ -102,7 +102,8 @@ def test_output_is_globally_ordered(spark, compact_items, monkeypatch):
     monkeypatch.setattr(pairs, "ROWS_PER_TASK", 100)
     inputs = [fixture(spark, SF_DIR, n) for n in ("fx_catalog", "fx_company_sales", "fx_competitor_sales")]
     found = plans.recommend(*inputs, compact_items=compact_items)
-    assert found.rdd.getNumPartitions() > 1
+    if compact_items == pairs.COMPACT_ITEMS:
+        assert found.rdd.getNumPartitions() > 1
     rows = [(r["seller_id"], -r["expected_revenue"], r["item_id"]) for r in found.collect()]
     assert rows == sorted(rows)
 
@@ -164,6 +165,19 @@ def test_reports_round_trip(spark, tmp_path):
     assert not (tmp_path / "none").exists()
 
 
+def test_publishing_writes_both_reports(spark, tmp_path):
+    inputs = _small(spark)
+    run = plans.publish_recommendations(*inputs, f"{tmp_path}/all", f"{tmp_path}/gap", top_n=20)
+    want = plans.recommend(*inputs, top_n=20)
+    catalog, _, competitor = inputs
+    gap = plans.company_gap(ops.top_competitor_items(competitor, catalog, 20), catalog)
+    assert _rows(run.recommendations) == _rows(want)
+    assert _rows(run.gap) == _rows(gap)
+    assert run.gap.count() > 0
+    assert _rows(run.stats) == _rows(plans.recommendation_stats(want))
+    assert _rows(run.checks) == _rows(plans.recommendation_checks(want))
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
