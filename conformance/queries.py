@@ -214,8 +214,8 @@ def _days(spark, sf_dir):
 def _commit_log(spark, sf_dir):
     first, second = _days(spark, sf_dir)
     path = fresh_path(spark, "commits")
-    sinks.append_commit(first, path, DAY_1)
-    sinks.append_commit(second, path, DAY_2)
+    sinks.write_commit(first, path, DAY_1)
+    sinks.write_commit(second, path, DAY_2)
     return sources.read_commit_log(spark, path, first.schema)
 
 
@@ -431,22 +431,16 @@ def seller_recommendations_keyed(spark, sf_dir):
     )
 
 
+def _run_all(spark, sf_dir, root: str) -> dict[str, plans.EtlRun]:
+    inputs = {spec: fixture(spark, sf_dir, raw_name) for spec, raw_name in RAW.values()}
+    return plans.run_datasets(inputs, root, _as_of())
+
+
 @query("end_to_end_recommendations")
 def end_to_end_recommendations(spark, sf_dir):
     """Raw strings through all three ETL runs to recommendations."""
-    tables = []
-    for spec, raw_name in RAW.values():
-        root = fresh_path(spark, spec.name)
-        run = plans.run_etl(
-            fixture(spark, sf_dir, raw_name),
-            spec,
-            f"{root}/table",
-            f"{root}/quarantine",
-            as_of=_as_of(),
-            staging_path=f"{root}/checked",
-        )
-        tables.append(run.table)
-    return plans.recommend(*tables)
+    runs = _run_all(spark, sf_dir, fresh_path(spark, "runs"))
+    return plans.recommend(*(runs[spec.name].table for spec, _ in RAW.values()))
 
 
 @query("recommendations_csv")
@@ -507,16 +501,7 @@ def published_gap(spark, sf_dir):
 def run_metrics(spark, sf_dir):
     """Figures of the three ETL runs, as saved."""
     root = fresh_path(spark, "runs")
-    for spec, raw_name in RAW.values():
-        plans.run_etl(
-            fixture(spark, sf_dir, raw_name),
-            spec,
-            f"{root}/{spec.name}/table",
-            f"{root}/{spec.name}/quarantine",
-            as_of=_as_of(),
-            metrics_path=f"{root}/metrics",
-            staging_path=f"{root}/{spec.name}/checked",
-        )
+    _run_all(spark, sf_dir, root)
     saved = sinks.read_run_metrics(spark, f"{root}/metrics")
     return saved.select(
         "pipeline_name", "status", "records.*", "data_quality.*", F.size("errors").alias("n_errors")

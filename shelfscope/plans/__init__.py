@@ -1,6 +1,6 @@
 """Whole jobs composed from the operators."""
 
-from .etl import EtlRun, run_etl, run_etl_from_csv, trusted_rows
+from .etl import EtlRun, run_datasets, run_etl, run_etl_from_csv, trusted_rows
 from .incremental import upsert_snapshot
 from .recommendations import (
     RecommendationRun,
@@ -22,6 +22,7 @@ __all__ = [
     "recommend",
     "recommendation_checks",
     "recommendation_stats",
+    "run_datasets",
     "run_etl",
     "run_etl_from_csv",
     "trusted_rows",

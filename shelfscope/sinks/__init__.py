@@ -2,14 +2,14 @@
 
 from .reports import read_gap, read_recommendations, write_company_gap, write_recommendations
 from .run_metrics import RunMetrics, read_run_metrics, write_run_metrics
-from .tables import append_commit, write_quarantine, write_snapshot, write_table
+from .tables import write_commit, write_quarantine, write_snapshot, write_table
 
 __all__ = [
     "RunMetrics",
-    "append_commit",
     "read_gap",
     "read_recommendations",
     "read_run_metrics",
+    "write_commit",
     "write_company_gap",
     "write_quarantine",
     "write_recommendations",

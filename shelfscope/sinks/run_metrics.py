@@ -100,4 +100,5 @@ def write_run_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRICS_SCHEMA).json(path)
+    """Every run saved in the folder or below it."""
+    return spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", True).json(path)

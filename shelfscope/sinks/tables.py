@@ -47,8 +47,13 @@ def write_quarantine(invalid: DataFrame, path: str, rows: int | None = None) ->
     return not empty
 
 
-def append_commit(df: DataFrame, path: str, instant: str) -> None:
-    """Add one commit to a commit log, a table partitioned by commit time."""
-    df.withColumn(COMMIT_COLUMN, F.lit(instant)).write.mode("append").partitionBy(
+def write_commit(df: DataFrame, path: str, instant: str) -> None:
+    """Add one commit to a commit log, a table partitioned by commit time.
+
+    Writing the same instant again replaces that commit and leaves the others, so
+    a job that is retried does not add its rows twice.
+    """
+    commit = df.withColumn(COMMIT_COLUMN, F.lit(instant))
+    commit.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         COMMIT_COLUMN
-    ).option("mergeSchema", True).parquet(path)
+    ).parquet(path)

@@ -226,3 +226,19 @@ def test_metrics_file_is_plain_json(spark, tmp_path):
     saved = json.loads(file.read_text())
     assert saved["pipeline_name"] == "etl_demo"
     assert saved["data_quality"] == {"valid_percentage": 75.0, "invalid_percentage": 25.0}
+
+
+def test_datasets_run_together_and_all_finish(spark, tmp_path):
+    good = _raw(spark, COMPANY_SALES, [("I1", "1", "1", "2020-01-01")])
+    bad = _raw(spark, COMPETITOR_SALES, [("C1", "I1", "1", "1", "1", "2020-01-01")]).withColumn(
+        "revenue", F.raise_error(F.lit("broken input"))
+    )
+    with pytest.raises(Exception, match="broken input"):
+        plans.run_datasets({COMPETITOR_SALES: bad, COMPANY_SALES: good}, str(tmp_path))
+    saved = sinks.read_run_metrics(spark, f"{tmp_path}/metrics").collect()
+    assert {row["pipeline_name"]: row["status"] for row in saved} == {
+        "etl_company_sales": "SUCCESS",
+        "etl_competitor_sales": "FAILED",
+    }
+    runs = plans.run_datasets({COMPANY_SALES: good}, str(tmp_path / "again"), _day())
+    assert runs["company_sales"].table.count() == 1

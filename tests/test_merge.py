@@ -58,8 +58,9 @@ def test_merge_adds_new_columns(spark):
 def test_commit_log_reads_any_instant(spark, tmp_path):
     path = f"{tmp_path}/log"
     first, second = _table(spark, range(4), 1.0), _table(spark, [3, 4], 2.0)
-    sinks.append_commit(first, path, "20250101000000000")
-    sinks.append_commit(second, path, "20250102000000000")
+    sinks.write_commit(first, path, "20250101000000000")
+    for _ in range(2):  # the second time replaces the commit
+        sinks.write_commit(second, path, "20250102000000000")
     log = sources.read_commit_log(spark, path, first.schema)
     before = ops.as_of(log, KEYS, "20241231000000000")
     between = ops.as_of(log, KEYS, "20250101235959999")
