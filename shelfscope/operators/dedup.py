@@ -52,8 +52,9 @@ def remove_duplicates(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def keyed_snapshot(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Rows of a keyed table: the latest row per key plus the constant columns."""
-    snapshot = latest_per_key(df, spec.keys, spec.order_by)
-    return snapshot.select(
-        *spec.columns, *(F.lit(value).alias(name) for name, value in spec.constants)
-    )
+    """Rows of a keyed table: the latest row per key plus the constant columns.
+
+    Columns the spec does not know, such as ones added later, are kept.
+    """
+    constants = {name: F.lit(value) for name, value in spec.constants}
+    return latest_per_key(df, spec.keys, spec.order_by).withColumns(constants)

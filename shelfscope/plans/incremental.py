@@ -20,14 +20,16 @@ def upsert_snapshot(
 ) -> DataFrame:
     """Write ``base`` with ``incoming`` upserted to a new folder; return the summary.
 
-    ``incoming`` holds trusted rows of one batch. The folder that is read is never
+    ``incoming`` holds trusted rows of one batch; columns it adds are NULL for the
+    keys it does not touch. The folder that is read is never
     the one written, so a failed run leaves the old version in place and can
     simply be repeated.
     """
     if target_path.rstrip("/") == base_path.rstrip("/"):
         raise ValueError("write the merged table to a new path, not over the one it reads")
     keys = list(spec.keys)
-    base = read_snapshot(spark, spec, base_path)
     batch = keyed_snapshot(incoming, spec)
+    added = [f for f in batch.schema.fields if f.name not in spec.snapshot_schema.names]
+    base = read_snapshot(spark, spec, base_path, added)
     write_table(merge(base, batch, keys, spec.order_by), target_path, spec.partition_by)
     return merge_summary(base, batch, keys)

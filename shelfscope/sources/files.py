@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -25,13 +27,16 @@ def scan_csv(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
     return spark.read.schema(spec.landing_schema).options(**CSV_OPTIONS).csv(csv_glob(path))
 
 
-def read_snapshot(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+def read_snapshot(
+    spark: SparkSession, spec: DatasetSpec, path: str, extra: Sequence[T.StructField] = ()
+) -> DataFrame:
     """The keyed table last written for the dataset.
 
     The schema is given, so partition values such as ``category=007`` keep their
-    type and no footer is opened to find out about columns.
+    type and no footer is opened to find out about columns. ``extra`` names
+    columns beyond the spec's; they are NULL where the files do not have them.
     """
-    schema = spec.snapshot_schema
+    schema = T.StructType([*spec.snapshot_schema.fields, *extra])
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 

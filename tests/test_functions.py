@@ -61,6 +61,17 @@ def test_title_lowers_the_rest_and_keeps_tabs(spark):
     assert _apply(spark, fn.clean_text, ["\t a "]) == ["\t a"]
 
 
+def test_typing_does_not_depend_on_ansi_mode(spark):
+    values = ["12.7", "3000000000", "abc", "2025-1-5", "2025-02-30", "1e3", "NaN"]
+    readers = (fn.to_int, fn.to_double, fn.to_date)
+    strict = [repr(_apply(spark, reader, values)) for reader in readers]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert [repr(_apply(spark, reader, values)) for reader in readers] == strict
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def _sum(spark, values, function=fn.exact_sum):
     df = spark.createDataFrame([(float(v) if v is not None else None,) for v in values], "v double")
     return df.agg(function(F.col("v")).alias("s")).first()["s"]
