@@ -246,6 +246,12 @@ def _merge_oracles() -> dict[str, str]:
         seen = f"(SELECT * FROM log WHERE commit_time <= '{instant}')"
         newest = _first_per_key(seen, columns, ("seller_id", "item_id"), "commit_time DESC")
         versions.append(f"SELECT *, '{instant}' AS instant FROM ({newest})")
+    summary = _with(
+        "SELECT COUNT(*) FILTER (WHERE b.item_id IS NULL) AS inserts, "
+        "COUNT(*) FILTER (WHERE b.item_id IS NOT NULL AND d.item_id IS NOT NULL) AS updates, "
+        "COUNT(*) AS total_rows "
+        f"FROM fx_catalog_day1 b FULL OUTER JOIN fx_catalog_day2 d ON {_SAME_KEY}"
+    )
     return {
         "merge_catalog": _with(_MERGED),
         "merge_replay": _with(_MERGED),
@@ -253,12 +259,8 @@ def _merge_oracles() -> dict[str, str]:
             "SELECT *, 'Item ' || item_id AS item_name, 'Shelf ' || right(item_id, 1) AS category "
             f"FROM ({_MERGED})"
         ),
-        "merge_summary": _with(
-            "SELECT COUNT(*) FILTER (WHERE b.item_id IS NULL) AS inserts, "
-            "COUNT(*) FILTER (WHERE b.item_id IS NOT NULL AND d.item_id IS NOT NULL) AS updates, "
-            "COUNT(*) AS total_rows "
-            f"FROM fx_catalog_day1 b FULL OUTER JOIN fx_catalog_day2 d ON {_SAME_KEY}"
-        ),
+        "merge_summary": summary,
+        "upsert_summary": summary,
         "table_as_of": _with(" UNION ALL ".join(versions), log=log),
         "commit_timeline": _with(
             "SELECT commit_time, COUNT(*) AS rows_written FROM log GROUP BY commit_time", log=log

@@ -232,8 +232,7 @@ def merge_replay(spark, sf_dir):
     return ops.merge(once, second, CATALOG_KEYS, "marketplace_price")
 
 
-@query("upsert_snapshot")
-def upsert_snapshot(spark, sf_dir):
+def _upsert(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The catalog of one day's lines, then the other's upserted into a new folder."""
     root = fresh_path(spark, "upsert")
     first, second = (
@@ -248,8 +247,19 @@ def upsert_snapshot(spark, sf_dir):
         for name in ("fx_catalog_day1", "fx_catalog_day2")
     )
     sinks.write_snapshot(first, SELLER_CATALOG, f"{root}/v1")
-    plans.upsert_snapshot(spark, SELLER_CATALOG, f"{root}/v1", second, f"{root}/v2")
-    return sources.read_snapshot(spark, SELLER_CATALOG, f"{root}/v2")
+    paths = f"{root}/v1", f"{root}/v2"
+    summary = plans.upsert_snapshot(spark, SELLER_CATALOG, paths[0], second, paths[1])
+    return summary, sources.read_snapshot(spark, SELLER_CATALOG, paths[1])
+
+
+@query("upsert_snapshot")
+def upsert_snapshot(spark, sf_dir):
+    return _upsert(spark, sf_dir)[1]
+
+
+@query("upsert_summary")
+def upsert_summary(spark, sf_dir):
+    return _upsert(spark, sf_dir)[0]
 
 
 @query("merge_summary")

@@ -25,7 +25,7 @@ from .items import (
     top_company_items,
     top_competitor_items,
 )
-from .merge import as_of, commit_timeline, merge, merge_summary, reconcile
+from .merge import as_of, commit_timeline, merge, merge_summary, reconcile, replace_keys
 from .pairs import missing_items, seller_item_pairs
 from .quality import (
     check_quality,
@@ -66,6 +66,7 @@ __all__ = [
     "reason_counts",
     "reconcile",
     "remove_duplicates",
+    "replace_keys",
     "sales_with_category",
     "seller_item_pairs",
     "top_company_items",

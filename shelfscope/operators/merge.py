@@ -17,6 +17,11 @@ def reconcile(older: DataFrame, newer: DataFrame) -> DataFrame:
     return older.unionByName(newer, allowMissingColumns=True)
 
 
+def replace_keys(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``base`` without the keys of ``batch``, followed by ``batch``."""
+    return reconcile(base.join(batch.select(*keys), list(keys), "left_anti"), batch)
+
+
 def merge(
     base: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: str
 ) -> DataFrame:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dedup import keyed_snapshot
-from ..operators.merge import merge, merge_summary
+from ..operators.merge import replace_keys
 from ..sinks import write_table
 from ..sources import read_snapshot
 from ..specs import DatasetSpec
+from ..staging import stage
+
+SUMMARY_SCHEMA = "inserts bigint, updates bigint, total_rows bigint"
 
 
 def upsert_snapshot(
@@ -21,15 +24,19 @@ def upsert_snapshot(
     """Write ``base`` with ``incoming`` upserted to a new folder; return the summary.
 
     ``incoming`` holds trusted rows of one batch; columns it adds are NULL for the
-    keys it does not touch. The folder that is read is never
-    the one written, so a failed run leaves the old version in place and can
-    simply be repeated.
+    keys it does not touch. The folder that is read is never the one written, so a
+    failed run leaves the old version in place and can simply be repeated.
+
+    The batch is written first, so the anti join knows its real size. The summary
+    follows from three row counts (the base's from its file footers), as both
+    sides hold one row per key; it costs no second join.
     """
     if target_path.rstrip("/") == base_path.rstrip("/"):
         raise ValueError("write the merged table to a new path, not over the one it reads")
-    keys = list(spec.keys)
-    batch = keyed_snapshot(incoming, spec)
-    added = [f for f in batch.schema.fields if f.name not in spec.snapshot_schema.names]
+    batch = stage(keyed_snapshot(incoming, spec), f"{spec.name}-batch")
+    added = [f for f in batch.frame.schema.fields if f.name not in spec.snapshot_schema.names]
     base = read_snapshot(spark, spec, base_path, added)
-    write_table(merge(base, batch, keys, spec.order_by), target_path, spec.partition_by)
-    return merge_summary(base, batch, keys)
+    merged = replace_keys(base, batch.frame, spec.keys)
+    total = write_table(merged, target_path, spec.partition_by)
+    inserts = total - base.count()
+    return spark.createDataFrame([(inserts, batch.rows - inserts, total)], SUMMARY_SCHEMA)
