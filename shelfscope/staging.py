@@ -6,35 +6,29 @@ checkpointed frame, its scan reports its real size, so Catalyst broadcasts it in
 a later join only when that size is under ``spark.sql.autoBroadcastJoinThreshold``
 and shuffles otherwise. The row count taken while writing is exact, which lets a
 caller size partitions, or decide on a broadcast, from a fact.
+
+Whoever stages a table owns it. A ``Workspace`` groups the tables of one job and
+drops them; what a returned frame still reads stays until its reader is done.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_ROOT: tempfile.TemporaryDirectory | None = None
-
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder that all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Only a local master may fall back to a temporary folder; on a cluster such a
-    folder would not be visible to the executors.
+    There is no fallback: a machine-local folder would lose rows on a cluster.
     """
-    global _LOCAL_ROOT
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if _LOCAL_ROOT is None:
-        _LOCAL_ROOT = tempfile.TemporaryDirectory(prefix="shelfscope-")
-    return _LOCAL_ROOT.name
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -42,6 +36,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/shelfscope-{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged table; one that is gone already is no error."""
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
 @dataclass(frozen=True)
 class Staged:
     """A written table and the figures observed while it was written."""
@@ -49,6 +60,11 @@ class Staged:
     frame: DataFrame
     rows: int
     figures: dict = field(default_factory=dict)
+    path: str = ""
+
+    def drop(self) -> None:
+        """Delete the files. Frames that still read them fail from here on."""
+        drop_path(self.frame.sparkSession, self.path)
 
 
 def stage(
@@ -73,4 +89,30 @@ def stage(
         frame=spark.read.schema(df.schema).parquet(target).select(*df.columns),
         rows=values["rows"],
         figures={name: values[name] for name in figures},
+        path=target,
     )
+
+
+class Workspace:
+    """One folder for the staged tables of a job.
+
+    As a context manager it drops the whole folder at the end; without ``with`` the
+    caller does, once nothing reads the tables any more.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, path: str | None = None) -> None:
+        self.spark = spark
+        self.path = path or fresh_path(spark, label)
+
+    def stage(self, df: DataFrame, name: str, **figures: Column) -> Staged:
+        """Write ``df`` under this folder; every call uses a new place."""
+        return stage(df, name, path=f"{self.path}/{name}-{uuid.uuid4().hex[:8]}", **figures)
+
+    def drop(self) -> None:
+        drop_path(self.spark, self.path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
