@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import Workspace, fresh_path
-from . import chat, mixing, pii, quality, rollups, sharding, urls
+from . import bpe, chat, mixing, pii, quality, rollups, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +119,18 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "p_block")
 
 
+def public_vocabulary() -> bpe.Vocabulary:
+    """The multilingual byte-level vocabulary of the installed public tokenizers."""
+    return bpe.Vocabulary.from_ranks_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_vocabulary()
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return bpe.token_digest(encoded, vocabulary)
+
+
 @query
 def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all documents, take out exact copies, count anew by another tokenizer, deliver that batch twice."""
