@@ -55,3 +55,23 @@ WITH kept AS (
 SELECT source, lang, 'words-2' AS tokenizer, count(*) AS docs,
        CAST(sum(len(regexp_extract_all(text, '[\p{L}\p{N}]+'))) AS BIGINT) AS tokens
 FROM kept GROUP BY source, lang"""
+
+
+ORACLES["op4_embedding_near_dedup"] = r"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+   AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+  SELECT a AS vec_id, b AS other FROM links
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+named AS (SELECT vec_id, min(other) AS least FROM reached GROUP BY vec_id),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, least(e.vec_id, coalesce(n.least, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(n.least, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN counted c USING (vec_id) LEFT JOIN named n USING (vec_id)"""

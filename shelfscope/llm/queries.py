@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import Workspace, fresh_path
-from . import bpe, chat, mixing, pii, quality, rollups, sharding, urls
+from . import bpe, chat, embedding_join, mixing, ngram_join, pii, quality, rollups, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: A mixture in which every fourth source counts as much as four others, at the input's size.
 MIXTURE = mixing.Target(weights={f"src{i}": 1.0 + i % 4 for i in range(20)}, rest=1.0, scale=1.0, seed=7)
 SHARDS = 24
+COSINE = 0.93
 #: The rules that the URL query is to apply.
 URL_RULES = (
     urls.UrlRule("net", "/", urls.BLOCK),
@@ -61,6 +62,17 @@ def op2_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"), COSINE)
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
