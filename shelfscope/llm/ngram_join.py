@@ -133,7 +133,7 @@ def index_keys(shingles: np.ndarray, frequency: np.ndarray, n: int, bucket: int)
     groups = max(1, round(size * (100 - PERCENT) / 100 / (GROUP - 1)))
     group = (mix(shingles) % np.uint64(groups)).astype(np.int64)
     members: dict[tuple[int, int], list[int]] = {}
-    sure, salt = 0, np.uint64(bucket)
+    sure, salt = 0, np.uint64(bucket + 1)
     singles: list[int] = []
     for value, level, number in zip(shingles.tolist(), levels.tolist(), group.tolist(), strict=True):
         if sure > missing:
