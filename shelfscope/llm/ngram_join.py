@@ -48,7 +48,7 @@ SMALL = 16
 #: Up to so many ids are broadcast to pick rows of a large table; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Hubs per key in each round; the last compares all members.
-HUBS = (1, 64, None)
+HUBS = (1, 8, 64, None)
 
 
 def required_overlap(n: np.ndarray | int):
@@ -241,8 +241,15 @@ def _links(indexed: _Sets, space: Workspace) -> DataFrame | None:
         open_ = space.stage(members.join(apart.frame, "key", "left_semi"), "open").frame
         left = open_
         if hubs is not None:
-            order = Window.partitionBy("key").orderBy(F.xxhash64("class", F.lit(hubs)), "class")
-            left = open_.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs).drop("place")
+            # One hub for each group that is still apart, those with the fewest shingles of their own
+            # first: a text that many others were copied from has none.
+            central = F.struct(
+                ((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), F.col("class"), F.col("n"), F.col("shared")
+            )
+            best = open_.groupBy("key", "group").agg(F.min(central).alias("best"))
+            order = Window.partitionBy("key").orderBy("best")
+            left = best.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs)
+            left = left.select("key", "group", "best.class", "best.n", "best.shared")
         left = space.stage(left.select("key", *(F.col(c).alias(f"l_{c}") for c in ("class", "n", "shared", "group"))), "hubs").frame
         pairs = open_.join(left, "key").filter((F.col("group") != F.col("l_group")) & _can_link("n", "shared", "l_n", "l_shared"))
         # In each pair the hub stays on its side: its set is what the other's is sent to.
