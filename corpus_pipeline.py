@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.llm import bpe, mixing, ngram_join, pii, quality
-from shelfscope.llm.queries import MIXTURE, public_vocabulary, table
+from shelfscope.llm.queries import MIXTURE, public_vocabulary, shorten_plan_texts, table
 from shelfscope.staging import Workspace
 
 
@@ -44,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, their count, and digests of the ids and of what they decode to."""
+    shorten_plan_texts(spark)
     vocabulary = public_vocabulary()
     encoded = bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), vocabulary)
     return bpe.token_digest(encoded, vocabulary)

@@ -136,8 +136,14 @@ def public_vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.from_ranks_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def shorten_plan_texts(spark: SparkSession) -> None:
+    """Keep the literal rank map, a megabyte, out of the plan texts that the driver stores at every update."""
+    spark.conf.set("spark.sql.maxPlanStringLength", "20000")
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shorten_plan_texts(spark)
     vocabulary = public_vocabulary()
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
     return bpe.token_digest(encoded, vocabulary)

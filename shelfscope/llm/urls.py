@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import drop_path, fresh_path
 from .frames import with_own, without
 
 ALLOW, BLOCK = "allow", "block"
@@ -129,7 +130,14 @@ def train_url_model(labelled: DataFrame, limit: int = MAX_LABELLED) -> UrlModel:
         regParam=1e-3,
         standardization=False,
     )
-    return UrlModel(regression.fit(_features(rows).coalesce(1).sortWithinPartitions("url")))
+    fitted = regression.fit(_features(rows).coalesce(1).sortWithinPartitions("url"))
+    # A fitted model holds its training summary, and that the session, which tasks can't be sent.
+    # One that was read back holds the coefficients only.
+    path = fresh_path(labelled.sparkSession, "url-model")
+    fitted.write().save(path)
+    model = LogisticRegressionModel.load(path)
+    drop_path(labelled.sparkSession, path)
+    return UrlModel(model)
 
 
 def match_rules(df: DataFrame, rules: tuple[UrlRule, ...], url: str = "url") -> DataFrame:
