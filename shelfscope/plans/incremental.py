@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dedup import keyed_snapshot
 from ..operators.merge import replace_keys
 from ..sinks import write_table
-from ..sources import read_snapshot
+from ..sources import added_columns, read_snapshot
 from ..specs import DatasetSpec
 from ..staging import stage
 
@@ -23,8 +23,9 @@ def upsert_snapshot(
 ) -> DataFrame:
     """Write ``base`` with ``incoming`` upserted to a new folder; return the summary.
 
-    ``incoming`` holds trusted rows of one batch; columns it adds are NULL for the
-    keys it does not touch. The folder that is read is never the one written, so a
+    ``incoming`` holds trusted rows of one batch. Columns that it adds are NULL for the
+    keys it does not touch, and columns that earlier batches added stay, NULL for its
+    own keys if it lacks them. The folder that is read is never the one written, so a
     failed run leaves the old version in place and can simply be repeated.
 
     The batch is written first, so the anti join knows its real size. The summary
@@ -34,8 +35,7 @@ def upsert_snapshot(
     if target_path.rstrip("/") == base_path.rstrip("/"):
         raise ValueError("write the merged table to a new path, not over the one it reads")
     batch = stage(keyed_snapshot(incoming, spec), f"{spec.name}-batch")
-    added = [f for f in batch.frame.schema.fields if f.name not in spec.snapshot_schema.names]
-    base = read_snapshot(spark, spec, base_path, added)
+    base = read_snapshot(spark, spec, base_path, added_columns(spark, spec, base_path))
     merged = replace_keys(base, batch.frame, spec.keys)
     total = write_table(merged, target_path, spec.partition_by)
     inserts = total - base.count()

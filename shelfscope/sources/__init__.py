@@ -1,6 +1,6 @@
 """Readers and pre-flight checks of the landing files."""
 
-from .files import csv_glob, read_commit_log, read_evolved, read_snapshot, scan_csv
+from .files import added_columns, csv_glob, read_commit_log, read_evolved, read_snapshot, scan_csv
 from .preflight import (
     dataset_verdicts,
     file_inventory,
@@ -11,6 +11,7 @@ from .preflight import (
 )
 
 __all__ = [
+    "added_columns",
     "csv_glob",
     "dataset_verdicts",
     "file_inventory",

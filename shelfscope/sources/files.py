@@ -27,6 +27,11 @@ def scan_csv(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
     return spark.read.schema(spec.landing_schema).options(**CSV_OPTIONS).csv(csv_glob(path))
 
 
+def added_columns(spark: SparkSession, spec: DatasetSpec, path: str) -> list[T.StructField]:
+    """Columns that the table's files have beyond the dataset's own, as batches added them."""
+    return [f for f in spark.read.parquet(path).schema.fields if f.name not in spec.snapshot_schema.names]
+
+
 def read_snapshot(
     spark: SparkSession, spec: DatasetSpec, path: str, extra: Sequence[T.StructField] = ()
 ) -> DataFrame:

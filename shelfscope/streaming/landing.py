@@ -1,8 +1,13 @@
 """Landing ingestion as a file stream that stops when it has caught up.
 
 The file source remembers in its checkpoint which files it has read, so every
-run takes only the new ones; the file sink's log makes each of them land once
-even if a run dies half way. Bronze keeps accumulating.
+run takes only the new ones, however old they are; the file sink's log makes each of
+them land once even if a run dies half way. Bronze keeps accumulating.
+
+That memory goes by the path, so a second file under a used name would be taken for
+one that was read, and archived unread. A table of deliveries beside the checkpoint
+(path, modification time, size) finds such a file, and the run stops before it reads
+or moves anything.
 """
 
 from __future__ import annotations
@@ -11,13 +16,24 @@ import logging
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.files import CSV_OPTIONS
 from ..specs import DatasetSpec
+from ..staging import path_exists, stage
 
 logger = logging.getLogger(__name__)
 
 
+#: Longer than any file is old: without it, files a week older than the newest are skipped.
+_ANY_AGE = "36500d"
+
+
+def _deliveries(spark: SparkSession, source: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(source)
+    return files.select("path", "modificationTime", "length")
+
+
 def ingest_landing(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -32,12 +48,15 @@ def ingest_landing(
     Returns False, with a warning, when the landing folder does not exist yet.
     With ``archive`` the source moves consumed files there; it does so while a
     later batch is planned, so the newest files stay until there is more data.
+    Raises if a file was delivered again, with other content or another time, under a
+    name that was used: give it a new name.
     """
     reader = (
         spark.readStream.schema(spec.landing_schema)
         .options(**CSV_OPTIONS)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
+        .option("maxFileAge", _ANY_AGE)
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
@@ -50,6 +69,18 @@ def ingest_landing(
             raise
         logger.warning("landing folder %s does not exist yet", source)
         return False
+    ledger = f"{checkpoint.rstrip('/')}-deliveries"
+    present = stage(_deliveries(spark, source), "deliveries")
+    arrived = present.frame
+    if path_exists(spark, ledger):
+        known = spark.read.schema(present.frame.schema).parquet(ledger)
+        named = known.select("path", F.col("modificationTime").alias("time"), F.col("length").alias("size"))
+        again = arrived.join(named, "path").filter((F.col("modificationTime") != F.col("time")) | (F.col("length") != F.col("size")))
+        repeated = again.count()
+        if repeated:
+            present.drop()
+            raise ValueError(f"{repeated} files under {source} were delivered again under a used name")
+        arrived = arrived.join(known, "path", "left_anti")
     query = (
         landed.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -58,6 +89,8 @@ def ingest_landing(
         .start()
     )
     query.awaitTermination()
+    arrived.write.mode("append").parquet(ledger)
+    present.drop()
     return True
 
 

@@ -1,11 +1,13 @@
 """Landing files: scans, pre-flight checks and streaming ingestion."""
 
+import os
 from pathlib import Path
 
 import pytest
 
 from shelfscope import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG
 from shelfscope import sources, streaming
+from shelfscope.sinks import reports
 
 HEADER = "item_id,units_sold,revenue,sale_date"
 
@@ -136,3 +138,40 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     ingest()
     assert landed() == ["I1", "I2", "I3"]
     assert list((tmp_path / "archive").rglob("one.csv"))
+
+
+def test_reports_keep_blanks_and_line_breaks(spark, tmp_path):
+    row = ("\tS1 ", "I\n2", 'a "b", c', " x", 1.5, 2.0, 3.0)
+    report = spark.createDataFrame([row], reports.RECOMMENDATION_SCHEMA)
+    reports.write_recommendations(report, str(tmp_path / "report"))
+    assert [tuple(r) for r in reports.read_recommendations(spark, str(tmp_path / "report")).collect()] == [row]
+    gap = spark.createDataFrame([("I1", " n\n", "c", 5, 1.0, 2.0)], reports.GAP_SCHEMA)
+    assert reports.write_company_gap(gap, str(tmp_path / "gap"))
+    assert not reports.write_company_gap(gap.limit(0), str(tmp_path / "none"))
+    assert [r.item_name for r in reports.read_gap(spark, str(tmp_path / "gap")).collect()] == [" n\n"]
+
+
+def test_landing_reads_old_files_and_refuses_used_names(spark, tmp_path):
+    places = [str(tmp_path / name) for name in ("landing", "bronze", "checkpoint")]
+    landing, archive = tmp_path / "landing", str(tmp_path / "archive")
+
+    def run():
+        return streaming.ingest_landing(spark, COMPANY_SALES, *places, archive=archive)
+
+    def landed():
+        return sorted(r.item_id for r in streaming.read_bronze(spark, COMPANY_SALES, places[1]).collect())
+
+    _put(landing, "a.csv", [HEADER, "I1,1,1.0,2025-01-01"])
+    run()
+    late = _put(landing, "late.csv", [HEADER, "I2,1,1.0,2025-01-01"])
+    os.utime(late, (late.stat().st_mtime - 30 * 86400,) * 2)
+    run()
+    assert landed() == ["I1", "I2"]
+    again = _put(landing, "late.csv", [HEADER, "I3,1,1.0,2025-01-01"])
+    with pytest.raises(ValueError, match="used name"):
+        run()
+    assert again.exists() and landed() == ["I1", "I2"]
+    again.rename(landing / "new.csv")
+    run()
+    run()
+    assert landed() == ["I1", "I2", "I3"]
