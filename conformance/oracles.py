@@ -440,6 +440,7 @@ def _all_oracles() -> dict[str, str]:
     oracles |= _source_oracles() | _merge_oracles() | _analytics_oracles()
     oracles["dq_reason_counts"] = _reason_counts()
     oracles["run_metrics"] = _run_metrics()
+    oracles["run_summary"] = f"SELECT *, CAST(NULL AS VARCHAR) AS first_error, TRUE AS timed FROM ({_run_metrics()})"
     return oracles
 
 

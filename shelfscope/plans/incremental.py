@@ -37,6 +37,6 @@ def upsert_snapshot(
     batch = stage(keyed_snapshot(incoming, spec), f"{spec.name}-batch")
     base = read_snapshot(spark, spec, base_path, added_columns(spark, spec, base_path))
     merged = replace_keys(base, batch.frame, spec.keys)
-    total = write_table(merged, target_path, spec.partition_by)
+    total = write_table(merged, target_path, spec.partition_by, dict(spec.constants))
     inserts = total - base.count()
     return spark.createDataFrame([(inserts, batch.rows - inserts, total)], SUMMARY_SCHEMA)

@@ -102,3 +102,16 @@ def write_run_metrics(metrics: DataFrame, path: str) -> None:
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Every run saved in the folder or below it."""
     return spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", True).json(path)
+
+
+def run_summary(metrics: DataFrame) -> DataFrame:
+    """One flat row per run: status, seconds, counts, shares, number of errors and the first one."""
+    return metrics.select(
+        "pipeline_name",
+        "status",
+        "duration_seconds",
+        "records.*",
+        "data_quality.*",
+        F.size("errors").alias("n_errors"),
+        F.get("errors", F.lit(0))["message"].alias("first_error"),
+    )

@@ -6,7 +6,7 @@ to a new path and point the readers there.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,14 +16,16 @@ from ..operators.merge import COMMIT_COLUMN
 from ..specs import DatasetSpec
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), constant: Collection[str] = ()) -> int:
     """Overwrite ``path`` and return the rows written, counted by the writing tasks.
 
     Partitioned tables are rebalanced on their partition columns first: each
     value goes to few files, and adaptive execution splits a value that holds
-    much of the table instead of giving it to one task.
+    much of the table instead of giving it to one task. Columns that hold one
+    value in all rows (``constant``) are no reason to move a row.
     """
-    balanced = df.hint("rebalance", *partition_by) if partition_by else df
+    varying = [c for c in partition_by if c not in constant]
+    balanced = df.hint("rebalance", *varying) if varying else df
     seen = Observation()
     counted = balanced.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -32,7 +34,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
 
 def write_snapshot(df: DataFrame, spec: DatasetSpec, path: str) -> int:
     """Write the dataset's keyed table: one row per key, the latest."""
-    return write_table(keyed_snapshot(df, spec), path, spec.partition_by)
+    return write_table(keyed_snapshot(df, spec), path, spec.partition_by, dict(spec.constants))
 
 
 def write_quarantine(invalid: DataFrame, path: str, rows: int | None = None) -> bool:
