@@ -23,7 +23,8 @@ def exact_sum(value: Column) -> Column:
     * amounts below 1e10 with at most two decimals, which is what money looks
       like, as whole cents in 64-bit integers. High and low bits are summed
       apart, so neither sum can overflow below 9e12 rows per group;
-    * other finite values below 1e20, as decimals with eight places;
+    * other finite values below 1e20, as decimals with eight places, and what they have
+      beyond, up to the eighteenth place, as decimals of its own;
     * NaN, infinities and larger values, as doubles. They make the total what a
       plain sum would make it.
     """
@@ -36,10 +37,13 @@ def exact_sum(value: Column) -> Column:
     money = (all_cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(28,2)")
 
     other = F.when(~is_money, value)
-    rest = F.sum(other.try_cast("decimal(28,8)")).cast("decimal(36,8)")
+    wide = other.try_cast("decimal(38,18)")
+    tail = wide % F.lit("0.00000001").cast("decimal(9,8)")
+    rest = F.sum((wide - tail).cast("decimal(28,8)")).cast("decimal(36,8)")
+    tails = F.sum(tail).cast("double")
     outside = F.sum(F.when(F.abs(other) >= 1e20, other))
 
-    exact = F.coalesce(money + rest, money, rest).cast("double")
+    exact = F.coalesce(money + rest, money, rest).cast("double") + F.coalesce(tails, F.lit(0.0))
     return F.coalesce(outside + exact, outside, exact)
 
 

@@ -84,6 +84,15 @@ def test_sum_is_exact_for_money(spark):
     assert _sum(spark, [296447575.14, 99999999.99, None]) == 396447575.13
 
 
+def test_sum_drops_no_places(spark):
+    assert _sum(spark, [1e-9] * 1000) == 1e-6
+    assert _sum(spark, [1e12 + 0.01, 1e-9, -1e12]) == pytest.approx(0.010000001, rel=1e-6)
+    values = [0.123456789012, -7.5, 1e-9, 3.333333333333, 1e12 + 0.01, 0.1] * 50
+    want = float(sum(Decimal(repr(v)) for v in values))
+    assert _sum(spark, values) == pytest.approx(want, rel=1e-15)
+    assert _sum(spark, values[::-1]) == _sum(spark, values)
+
+
 def test_sum_of_special_values(spark):
     assert _sum(spark, []) is None
     assert _sum(spark, [None, None]) is None
