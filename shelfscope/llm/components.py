@@ -7,37 +7,41 @@ from pyspark.sql import functions as F
 
 from ..staging import Workspace
 
-MAX_ROUNDS = 60
-
 
 def connected_components(links: DataFrame, space: Workspace) -> DataFrame:
     """(node, component) for every node of links (a, b); the component is its smallest node.
 
-    Each round a node takes the smallest label of itself and its neighbours, then the
-    label's own label, so long chains shrink by halves. A label is summed up before the
-    shuffle; the joins are on staged tables, whose hot keys (a node with very many
-    neighbours) Spark's skew handling can split. Nothing of the graph reaches the driver
-    but the number of labels that changed.
+    Each round a node takes the smallest label of itself and its neighbours, the old label's
+    node takes the smallest of what those that had it took, and all take their label's own
+    label. So trees of labels hook onto each other whatever the order of the ids, and their
+    depth halves: a plain model of the round took 10 for a chain of 2,000 nodes in random
+    order. The rounds go on until no label moves; labels only fall, so that comes. A label
+    is summed up before the shuffle; the joins are on staged tables, whose hot keys (a node
+    with very many neighbours) Spark's skew handling can split. Nothing of the graph reaches
+    the driver but the number of labels that changed.
     """
     plain = links.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u != v")
     both = plain.unionByName(plain.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     edges = space.stage(both, "edges").frame
     smallest = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
     labels = space.stage(smallest.select("node", F.least("node", "least").alias("label")), "labels")
-    for _ in range(MAX_ROUNDS):
+    while True:
         current = labels.frame
         seen = edges.join(current, edges["v"] == current["node"]).groupBy("u").agg(F.min("label").alias("near"))
-        taken = current.join(seen, current["node"] == seen["u"]).select("node", "label", F.least("label", "near").alias("next"))
-        step = space.stage(taken, "step").frame
-        own = step.select(F.col("node").alias("at"), F.col("next").alias("jump"))
-        jumped = step.join(own, step["next"] == own["at"]).select("node", "label", F.least("next", "jump").alias("next"))
+        near = current.join(seen, current["node"] == seen["u"]).select("node", "label", F.least("label", "near").alias("next"))
+        taken = space.stage(near, "taken")
+        hooks = taken.frame.groupBy(F.col("label").alias("root")).agg(F.min("next").alias("low"))
+        hooked = taken.frame.join(hooks, taken.frame["node"] == hooks["root"], "left")
+        step = space.stage(hooked.select("node", "label", F.least("next", "low").alias("next")), "step")
+        own = step.frame.select(F.col("node").alias("at"), F.col("next").alias("jump"))
+        jumped = step.frame.join(own, step.frame["next"] == own["at"]).select("node", "label", F.least("next", "jump").alias("next"))
         after = space.stage(
             jumped.select("node", F.col("next").alias("label"), (F.col("label") != F.col("next")).alias("moved")),
             "labels",
             moved=F.count_if("moved"),
         )
-        labels.drop()
+        for used in (labels, taken, step):
+            used.drop()
         labels = after
         if not after.figures["moved"]:
             return after.frame.select("node", F.col("label").alias("component"))
-    raise RuntimeError("labels did not settle")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfscope.llm import bpe, chat, embedding_join, ngram_join, quality, queries, rollups, urls
-from shelfscope.staging import fresh_path
+from shelfscope.llm.components import connected_components
+from shelfscope.staging import Workspace, fresh_path
 
 from . import brute
 
@@ -60,6 +61,15 @@ def test_range_join_of_nothing(spark):
     assert embedding_join.near_duplicates(empty, 0.93).count() == 0
 
 
+def test_components_of_a_long_chain_with_hashed_ids(spark):
+    rng = random.Random(4)
+    chain = [rng.randrange(-(2**63), 2**63) for _ in range(2000)]
+    links = [*zip(chain, chain[1:]), (1, 2), (3, 2), (7, 7)]
+    with Workspace(spark, "components-test") as space:
+        got = connected_components(spark.createDataFrame(links, "a long, b long"), space).collect()
+    assert sorted(map(tuple, got)) == sorted([(n, min(chain)) for n in chain] + [(1, 1), (2, 1), (3, 1)])
+
+
 def test_chat_reads_back_whatever_was_said(spark):
     said = ["<|im_end|>", "<\\|im_start|>", "<\\\\| <| \\", "", None, "a\nb", "🙂<|image|>"]
     rows = [(7, i, "assistant" if i % 2 else "user\n\x1b<|x", t) for i, t in enumerate(said)] + [(8, None, None, "x"), (8, None, None, "x")]
