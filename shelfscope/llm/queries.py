@@ -151,7 +151,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load all documents, take out exact copies, count anew by another tokenizer, deliver that batch twice."""
+    """Load all documents, take out exact copies, count anew by another tokenizer, deliver that batch twice.
+
+    Every row counts, also one that repeats another's id, or all of it: the staged rows are
+    numbered, and a change is named by its id and its row. One without an id has no name.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -162,14 +166,14 @@ def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+")).alias("words_2"),
     )
     space = Workspace(spark, "token-counts")
-    staged = space.stage(docs, "counts").frame
+    staged = space.stage(docs.withColumn("row", F.monotonically_increasing_id()), "counts").frame
     first = space.stage(staged.groupBy("text_md5").agg(F.min("doc_id").alias("first_id")), "first").frame
     marked = staged.join(first, staged["text_md5"].eqNullSafe(first["text_md5"]), "left").drop("text_md5")
     marked = space.stage(marked.withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))), "marked").frame
 
     old = rollups.counted(F.col("source"), F.col("lang"), F.lit(WORDS_1), F.col("words_1"))
     new = rollups.counted(F.col("source"), F.col("lang"), F.lit(WORDS_2), F.col("words_2"))
-    key = F.col("doc_id")
+    key = F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("row").cast("string"))
     recount = rollups.changes_frame(marked.filter(~F.col("copy")), "revise", key, old=old, new=new)
     rollup = rollups.TokenRollup(spark, fresh_path(spark, "token-rollup"))
     rollup.apply("load", rollups.changes_frame(marked, "insert", key, new=old))

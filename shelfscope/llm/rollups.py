@@ -36,9 +36,9 @@ def no_count() -> Column:
 
 
 def changes_frame(df: DataFrame, op: str, key: Column, old: Column | None = None, new: Column | None = None) -> DataFrame:
-    """Rows of the layout ``CHANGE`` from a frame and the expressions of their parts."""
+    """Rows of the layout ``CHANGE`` from a frame and the expressions of their parts; a null key gives no id."""
     return df.select(
-        F.concat_ws(":", F.lit(op), key.cast("string")).alias("change_id"),
+        F.concat(F.lit(op), F.lit(":"), key.cast("string")).alias("change_id"),
         F.lit(op).alias("op"),
         (no_count() if old is None else old).alias("old"),
         (no_count() if new is None else new).alias("new"),
