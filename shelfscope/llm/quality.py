@@ -111,8 +111,8 @@ class Condition:
     above: bool
     threshold: float
 
-    def column(self) -> Column:
-        value = features()[self.feature]
+    def column(self, value: Column | None = None) -> Column:
+        value = features()[self.feature] if value is None else value
         return value > self.threshold if self.above else value <= self.threshold
 
     def __str__(self) -> str:
@@ -178,54 +178,50 @@ def learn_decision_list(
 ) -> DecisionList:
     """Fit the list to rows that have the ``STATISTICS`` and a boolean ``bad``.
 
-    Thresholds lie half way between the ``cuts`` quantiles of each feature. A third of the rows, by a
-    hash of their figures and id, only prune and judge: a rule stays if at least
-    ``min_precision`` of the rows it covers are bad, in both parts, and it covers
-    ``min_covered`` bad rows. With one class, or none, the list is empty.
+    Each condition is chosen from thresholds of its own: they lie half way between the
+    ``cuts`` quantiles and the least and largest values of the bad and of the good rows
+    that the list so far leaves and the rule so far covers, so a rare kind of row has some
+    too. A third of the rows, by a hash of their figures and id, only prune and judge: a
+    rule stays if at least ``min_precision`` of the rows it covers are bad, in both parts,
+    and it covers ``min_covered`` bad rows. With one class, or none, the list is empty.
     """
     names = list(features())
     with Workspace(labelled.sparkSession, "decision-list") as space:
-        values = labelled.select(F.col("bad"), F.xxhash64(*STATISTICS, "doc_id").alias("h"), *(c.alias(n) for n, c in features().items()))
+        held_out = F.pmod(F.xxhash64(*STATISTICS, "doc_id"), F.lit(3)) == 0
+        values = labelled.select("bad", held_out.alias("held"), *(c.alias(n) for n, c in features().items()))
         table = space.stage(values, "figures").frame
         steps = [k / (cuts + 1) for k in range(1, cuts + 1)]
-        found = table.agg(*(F.percentile_approx(n, steps, 10_000).alias(n) for n in names)).first()
-        if found[names[0]] is None:
-            return DecisionList(())
-        edges = [_midpoints(sorted(set(found[n]))) for n in names]
-
-        def code(name: str, cuts_of: list[float]) -> Column:
-            return F.size(F.filter(double_array(cuts_of), lambda cut: cut < F.col(name)))
 
-        codes = F.array(*map(code, names, edges))
-        binned = space.stage(
-            table.select("bad", (F.pmod("h", F.lit(3)) == 0).alias("held"), codes.alias("codes")), "codes"
-        ).frame
+        def rule_holds(rule: list[Condition]) -> Column:
+            return reduce(Column.__and__, (c.column(F.col(c.feature)) for c in rule))
 
-        def holds(literal: tuple[int, bool, int]) -> Column:
-            feature, above, cut = literal
-            found_code = F.get("codes", F.lit(feature))
-            return found_code > cut if above else found_code <= cut
+        def thresholds(rows: DataFrame) -> list[list[float]]:
+            spread = (F.array(F.min(n), F.max(n)) for n in names)
+            quantiles = (F.percentile_approx(n, steps, 10_000) for n in names)
+            both = [F.concat(q, s).alias(n) for n, q, s in zip(names, quantiles, spread, strict=True)]
+            classes = rows.groupBy("bad").agg(*both).collect()
+            return [_midpoints(sorted({v for c in classes for v in c[n]})) for n in names]
 
-        def rule_holds(rule: list[tuple[int, bool, int]]) -> Column:
-            return reduce(Column.__and__, map(holds, rule))
+        def histogram(rows: DataFrame, edges: list[list[float]]) -> dict:
+            def code(name: str, cuts_of: list[float]) -> Column:
+                return F.size(F.filter(double_array(cuts_of), lambda cut: cut < F.col(name)))
 
-        def histogram(rules: list, conjunction: list) -> dict:
-            rows = binned
-            for rule in rules:
-                rows = rows.filter(~rule_holds(rule))
-            if conjunction:
-                rows = rows.filter(rule_holds(conjunction))
-            counted = rows.select("bad", "held", F.posexplode("codes").alias("f", "b")).groupBy("f", "b", "bad", "held").count()
+            codes = rows.select("bad", "held", F.posexplode(F.array(*map(code, names, edges))).alias("f", "b"))
+            counted = codes.groupBy("f", "b", "bad", "held").count()
             return {(r["f"], r["b"], r["bad"], r["held"]): r["count"] for r in counted.collect()}
 
         def precision(bad: int, good: int) -> float:
             return bad / (bad + good) if bad + good else 0.0
 
-        rules: list[list[tuple[int, bool, int]]] = []
+        rules: list[list[Condition]] = []
         while len(rules) < max_rules:
-            grown: list[tuple[tuple[int, bool, int], dict]] = []
+            grown: list[tuple[Condition, dict]] = []
+            rows = table
+            for rule in rules:
+                rows = rows.filter(~rule_holds(rule))
             while len(grown) < max_conditions:
-                seen = histogram(rules, [literal for literal, _ in grown])
+                edges = thresholds(rows)
+                seen = histogram(rows, edges)
                 all_rows = _counts(seen, 0, False, len(edges[0]), len(edges[0]) + 1)
                 bad0, good0 = all_rows[True, False], all_rows[False, False]
                 if not bad0 or not good0:
@@ -239,10 +235,13 @@ def learn_decision_list(
                         for c in [_counts(seen, f, above, cut, len(e) + 1)]
                     ),
                     key=lambda item: item[:4],
+                    default=(0.0,),
                 )
                 if best[0] <= 1e-9:
                     break
-                grown.append(((-best[1], best[3], -best[2]), best[4]))
+                condition = Condition(names[-best[1]], best[3], edges[-best[1]][-best[2]])
+                grown.append((condition, best[4]))
+                rows = rows.filter(rule_holds([condition]))
             if not grown:
                 break
             held = [precision(c[True, True], c[False, True]) for _, c in grown]
@@ -251,10 +250,8 @@ def learn_decision_list(
             fits = min(held[keep - 1], precision(counts[True, False], counts[False, False])) >= min_precision
             if not fits or counts[True, False] + counts[True, True] < min_covered:
                 break
-            rules.append([literal for literal, _ in grown[:keep]])
-        return DecisionList(
-            tuple(tuple(Condition(names[f], above, edges[f][cut]) for f, above, cut in rule) for rule in rules)
-        )
+            rules.append([condition for condition, _ in grown[:keep]])
+        return DecisionList(tuple(map(tuple, rules)))
 
 
 def learn_from(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DecisionList:

@@ -136,6 +136,21 @@ def test_decision_list_finds_planted_rules_and_keeps_clean_rows(spark):
     assert quality.judge_quality(docs.limit(0), rules).count() == 0
 
 
+def test_decision_list_cuts_off_a_rare_bad_class(spark):
+    def figures(i, bad, symbols):
+        return (i, bad, 60 + i * 7 % 200, 5 * (60 + i * 7 % 200), symbols, 0, i % 9, 1 + i % 12)
+
+    rows = [figures(i, i % 100 == 0, (9 + i % 7) * (i % 100 == 0)) for i in range(4000)]
+    # Two in a hundred of the bad rows are of another kind, one word a line.
+    rows += [(i, True, 300, 1500, 0, 0, 0, 300) for i in range(10_000, 10_020)] + [figures(i, True, 12) for i in range(20_000, 21_000)]
+    layout = "doc_id long, bad boolean, " + ", ".join(f"{c} long" for c in quality.STATISTICS)
+    for chosen in (rows[:4000], rows):
+        labelled = spark.createDataFrame(chosen, layout)
+        rules = quality.learn_decision_list(labelled)
+        wrong = labelled.filter((rules.column() > 0) != F.col("bad"))
+        assert rules.rules and wrong.count() == 0
+
+
 TRICKY = [
     "a@b.com_x@y.z, a@b@c.d a.b+c%d@e-f.g.h. @x.y a@b",
     "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255 1.2.3 999.1.2.3.4",
