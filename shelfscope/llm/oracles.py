@@ -75,3 +75,73 @@ counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(c.n, 0) AS n_links, least(e.vec_id, coalesce(n.least, e.vec_id)) AS component_id,
        e.vec_id = least(e.vec_id, coalesce(n.least, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN counted c USING (vec_id) LEFT JOIN named n USING (vec_id)"""
+
+
+ORACLES["op11_warc_revisits"] = r"""
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+named AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS original
+  FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to, TRUE AS sound
+FROM named"""
+
+ORACLES["op12_hard_negatives"] = r"""
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+         CAST(list_inner_product(a.v, o.v) AS BIGINT) AS score
+  FROM sound a JOIN sound o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id AND len(a.v) = len(o.v)),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+ORACLES["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+said AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM said GROUP BY lang, term HAVING count(DISTINCT d) >= 3),
+sizes AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(n) AS HUGEINT) AS total FROM kept GROUP BY lang),
+found AS (
+  SELECT s.lang, s.source, s.term, CAST(count(*) AS HUGEINT) AS n
+  FROM said s JOIN kept k ON s.lang = k.lang AND s.term = k.term GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+  SELECT g.lang, g.source, CAST(coalesce(sum(f.n), 0) AS HUGEINT) AS total
+  FROM groups g LEFT JOIN found f USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(f.n, 0) AS n,
+         1 + (1000000000 * (coalesce(f.n, 0) + 1)) // (t.total + z.v) AS p, 1 + (1000000000 * (k.n + 1)) // (z.total + z.v) AS q
+  FROM totals t JOIN kept k USING (lang) JOIN sizes z USING (lang) LEFT JOIN found f USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         CAST(coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // y.p) FROM shares x JOIN shares y USING (lang, term)
+                        WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+excess AS (
+  SELECT lang, source, term AS item, CAST(((p - q) * (p - q)) // q AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value,
+         CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+  FROM excess) WHERE rank <= 200"""

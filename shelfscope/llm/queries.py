@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import Workspace, fresh_path
-from . import bpe, chat, embedding_join, mixing, ngram_join, pii, quality, rollups, sharding, urls
+from . import bpe, chat, divergence, embedding_join, hard_negatives, mixing, ngram_join, pii, quality, rollups, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,3 +182,30 @@ def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.apply("recount", recount)
     space.drop()
     return rollup.totals()
+
+
+@query
+def op11_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive all pages, each large payload once, then read the archives and resolve the revisits."""
+    path = fresh_path(spark, "archives")
+    warc.write_deduplicated(table(spark, sf_dir, "pages"), path)
+    found = warc.resolve_revisits(warc.read_archives(spark, path))
+    return found.select(
+        F.col("key").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.col("refers_key").cast("bigint").alias("refers_to"),
+        "sound",
+    )
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))

@@ -43,4 +43,4 @@ def test_rollup_counts_rows_with_null_and_repeated_ids(spark, tmp_path):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
