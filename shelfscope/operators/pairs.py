@@ -2,22 +2,23 @@
 
 The answer to "which top items does each seller lack" is close to sellers x
 items rows, so the work is arranged for those rows to exist only at the very
-end. Every item gets a small number, its slot. The catalog is reduced to the
-slots each seller holds; per seller, the open slots are the full range minus the
-held ones, one array difference; only the final explode makes pairs, inside the
-task that emits them. Nothing of size sellers x items is shuffled or compared,
-and there is no cross join.
-
-Slots are numbered inside chunks of items so that no array and no numbering task
-grows with the list. Lists of up to ``COMPACT_ITEMS`` rows, a count taken when the
-list was written, form one chunk and are broadcast to the expansion; longer ones
-use several chunks and an ordinary join.
+end. Every item gets a small number, its slot, and the catalog is reduced to
+bitmaps: 64 slots are one long integer, or-ed together inside the map tasks. Per
+seller, words that it holds nothing of are added as zeros, and the open bits of
+every word are expanded in the task that emits the pairs. Nothing of size
+sellers x items is shuffled or compared, and there is no cross join.
+
+One plan serves lists of any length. Slots are numbered inside chunks, so no
+numbering task grows with the list and no bitmap exceeds a chunk. The expansion
+looks items up in a broadcast of counted size: a list of up to ``PART_ROWS`` rows
+is one part, a longer one several, each expanded by the same plan.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,110 +26,141 @@ from pyspark.sql.window import Window
 
 from ..staging import Staged, stage
 
-COMPACT_ITEMS = 50_000
+#: Rows of the list in a chunk, on average.
+CHUNK_ITEMS = 16_384
+#: Rows of the list that are broadcast at once.
+PART_ROWS = 1_000_000
 ROWS_PER_TASK = 1_000_000
+#: Slots in a word of a bitmap.
+WORD = 64
 
 
 @dataclass(frozen=True)
 class SlottedItems:
-    """A written item list with ``chunk`` and ``slot`` columns."""
+    """A written item list with ``chunk`` and ``slot`` columns, and the chunks of each part with their rows."""
 
     frame: DataFrame
     rows: int
-    chunks: int
-
-    @property
-    def is_compact(self) -> bool:
-        return self.chunks == 1
+    parts: tuple[tuple[tuple[int, ...], int], ...]
 
     @property
     def slots(self) -> DataFrame:
         return self.frame.select("item_id", "chunk", "slot").distinct()
 
 
-def assign_slots(items: Staged, compact_items: int = COMPACT_ITEMS) -> SlottedItems:
-    """Number the distinct items 1, 2, ... inside each chunk."""
-    chunks = max(1, math.ceil(items.rows / compact_items))
+def _packed(sizes: list[tuple[int, int]]) -> tuple[tuple[tuple[int, ...], int], ...]:
+    """Chunks in groups of at most ``PART_ROWS`` rows; a larger chunk is a part of its own."""
+    parts: list[tuple[tuple[int, ...], int]] = []
+    for chunk, rows in sorted(sizes):
+        if parts and parts[-1][1] + rows <= PART_ROWS:
+            parts[-1] = ((*parts[-1][0], chunk), parts[-1][1] + rows)
+        else:
+            parts.append(((chunk,), rows))
+    return tuple(parts)
+
+
+def assign_slots(items: Staged) -> SlottedItems:
+    """Number the distinct items 0, 1, ... inside each chunk."""
+    chunks = max(1, math.ceil(items.rows / CHUNK_ITEMS))
     chunk = F.pmod(F.xxhash64("item_id"), F.lit(chunks)).cast("int")
     numbered = items.frame.withColumn("chunk", chunk).withColumn(
-        "slot", F.dense_rank().over(Window.partitionBy("chunk").orderBy("item_id"))
+        "slot", F.dense_rank().over(Window.partitionBy("chunk").orderBy("item_id")) - 1
     )
-    return SlottedItems(numbered, items.rows, chunks)
+    parts = ((tuple(range(chunks)), items.rows),)
+    if items.rows > PART_ROWS:
+        # One row per chunk: a number for every CHUNK_ITEMS rows of the list.
+        parts = _packed([tuple(row) for row in items.frame.groupBy(chunk.alias("chunk")).count().collect()])
+    return SlottedItems(numbered, items.rows, parts)
 
 
 def stocked_slots(seller_catalog: DataFrame, items: SlottedItems) -> Staged:
-    """Slots held per seller; a seller holding none keeps one row without a slot.
+    """Bitmap words held per seller; a seller holding nothing keeps one row without a word.
 
-    One pass over two catalog columns. Repeats merge in the map tasks, so neither
-    a seller nor an item that fills the catalog makes a large group.
+    One pass over two catalog columns. Bits merge in the map tasks, so neither a
+    seller nor an item that fills the catalog makes a large group.
     """
     matched = seller_catalog.select("seller_id", "item_id").join(items.slots, "item_id", "left")
-    held = matched.select("seller_id", "chunk", "slot").distinct()
+    word, bit = F.expr(f"int(slot div {WORD})"), F.expr(f"shiftleft(1L, slot % {WORD})")
+    held = matched.groupBy("seller_id", "chunk", word.alias("word")).agg(F.bit_or(bit).alias("mask"))
     return stage(held, "stock", sellers=F.approx_count_distinct("seller_id"))
 
 
-def _open_slots(held: DataFrame, items: SlottedItems, tasks: int) -> DataFrame:
-    """``(seller_id, chunk, slot)`` for every slot a seller does not hold.
+def stocked_by_any(stock: Staged) -> DataFrame:
+    """``(chunk, slot)`` of every seller that holds it, a NULL seller included."""
+    bits = stock.frame.filter("mask IS NOT NULL").withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1))))
+    held = bits.filter(F.getbit("mask", F.col("bit")) == 1)
+    return held.select("seller_id", "chunk", (F.col("word") * WORD + F.col("bit")).alias("slot"))
+
+
+def seller_counts(stock: Staged) -> DataFrame:
+    """Distinct sellers per slot, from the already reduced stock."""
+    named = stocked_by_any(stock).filter("seller_id IS NOT NULL")
+    return named.groupBy("chunk", "slot").agg(F.count(F.lit(1)).alias("company_seller_count"))
+
+
+def _open_slots(held: DataFrame, listed: DataFrame, chunks: tuple[int, ...], tasks: int) -> DataFrame:
+    """``(seller_id, chunk, slot)`` for every slot of these chunks that a seller does not hold.
 
     A NULL seller holds nothing, as it equals no seller.
     Spread over ``tasks`` range partitions of ``seller_id`` before the explode:
     the partitions are sized by what they will produce, not by what goes in.
     """
-    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(items.chunks - 1))).alias("chunk")
-    cells = (
-        held.select("seller_id")
-        .distinct()
-        .select("seller_id", every_chunk, F.lit(None).cast("int").alias("slot"))
-    )
+    wanted = F.explode(F.lit(list(chunks))).alias("chunk")
+    cells = held.select("seller_id").distinct().select("seller_id", wanted, F.lit(None).cast("int").alias("word"))
+    words = held.filter("mask IS NOT NULL AND seller_id IS NOT NULL")
     per_cell = (
-        held.filter("slot IS NOT NULL AND seller_id IS NOT NULL")
-        .unionByName(cells)
+        words.filter(F.col("chunk").isin(*chunks))
+        .unionByName(cells.withColumn("mask", F.lit(None).cast("bigint")))
         .groupBy("seller_id", "chunk")
-        .agg(F.collect_list("slot").alias("held"))
+        .agg(F.collect_list(F.when(F.col("mask").isNotNull(), F.struct("word", "mask"))).alias("held"))
         .repartitionByRange(tasks, "seller_id")
     )
-    sizes = items.frame.groupBy("chunk").agg(F.max("slot").alias("n_slots"))
-    open_slots = F.array_except(F.sequence(F.lit(1), F.col("n_slots")), F.col("held"))
-    return per_cell.join(_small(sizes, items), "chunk").select(
-        "seller_id", "chunk", F.explode(open_slots).alias("slot")
+    # One row per chunk of the part.
+    sizes = listed.groupBy("chunk").agg((F.max("slot") + 1).alias("n_slots"))
+    every = F.sequence(F.lit(0), F.expr(f"int((n_slots - 1) div {WORD})"))
+    blank = F.transform(
+        F.array_except(every, F.transform("held", lambda h: h["word"])),
+        lambda w: F.struct(w.alias("word"), F.lit(0).cast("bigint").alias("mask")),
+    )
+    first, last = F.col("word") * WORD, F.least(F.col("word") * WORD + WORD - 1, F.col("n_slots") - 1)
+    return (
+        per_cell.join(F.broadcast(sizes), "chunk")
+        .select("seller_id", "chunk", "n_slots", F.inline(F.concat("held", blank)))
+        .select("seller_id", "chunk", "mask", F.explode(F.sequence(first, last)).alias("slot"))
+        .filter(F.getbit("mask", F.col("slot") % WORD) == 0)
+        .drop("mask")
     )
-
-
-def _small(frame: DataFrame, items: SlottedItems) -> DataFrame:
-    """Mark an item-sized side as broadcastable if its counted rows allow it."""
-    return F.broadcast(frame) if items.is_compact else frame
 
 
 def expand_open_slots(stock: Staged, items: SlottedItems, described: DataFrame) -> DataFrame:
     """``seller_id`` with every row of ``described`` whose slot the seller lacks.
 
-    ``described`` is the item list with any columns added. For a compact list the
-    result stays range-partitioned by ``seller_id``.
+    ``described`` is the item list with any columns added. The result stays
+    range-partitioned by ``seller_id``, part by part.
     """
-    pairs = stock.figures["sellers"] * items.rows
-    tasks = max(1, math.ceil(pairs / ROWS_PER_TASK))
-    return (
-        _open_slots(stock.frame, items, tasks)
-        .join(_small(described, items), ["chunk", "slot"])
-        .drop("chunk", "slot")
-    )
+
+    def expand(chunks: tuple[int, ...], rows: int) -> DataFrame:
+        tasks = max(1, math.ceil(stock.figures["sellers"] * rows / ROWS_PER_TASK))
+        whole = len(items.parts) == 1
+        listed = described if whole else described.filter(F.col("chunk").isin(*chunks))
+        open_slots = _open_slots(stock.frame, items.frame if whole else items.frame.filter(F.col("chunk").isin(*chunks)), chunks, tasks)
+        # A chunk beyond the bound (one item with very many descriptions) is left to Catalyst.
+        small = F.broadcast(listed) if rows <= PART_ROWS else listed
+        return open_slots.join(small, ["chunk", "slot"]).drop("chunk", "slot")
+
+    return reduce(DataFrame.unionByName, [expand(*part) for part in items.parts])
 
 
-def missing_items(
-    seller_catalog: DataFrame, items: DataFrame, compact_items: int = COMPACT_ITEMS
-) -> DataFrame:
+def missing_items(seller_catalog: DataFrame, items: DataFrame) -> DataFrame:
     """Every seller with every row of ``items`` whose ``item_id`` it does not stock."""
-    slotted = assign_slots(stage(items, "items"), compact_items)
+    slotted = assign_slots(stage(items, "items"))
     return expand_open_slots(stocked_slots(seller_catalog, slotted), slotted, slotted.frame)
 
 
-def seller_item_pairs(
-    seller_catalog: DataFrame, items: DataFrame, compact_items: int = COMPACT_ITEMS
-) -> DataFrame:
+def seller_item_pairs(seller_catalog: DataFrame, items: DataFrame) -> DataFrame:
     """Every seller with every row of ``items``, stocked or not."""
-    slotted = assign_slots(stage(items, "items"), compact_items)
-    sellers = seller_catalog.select(
-        "seller_id", F.lit(None).cast("int").alias("chunk"), F.lit(None).cast("int").alias("slot")
-    ).distinct()
+    slotted = assign_slots(stage(items, "items"))
+    nothing = {"chunk": "int", "word": "int", "mask": "bigint"}
+    sellers = seller_catalog.select("seller_id", *(F.lit(None).cast(t).alias(n) for n, t in nothing.items())).distinct()
     stock = stage(sellers, "sellers", sellers=F.approx_count_distinct("seller_id"))
     return expand_open_slots(stock, slotted, slotted.frame)

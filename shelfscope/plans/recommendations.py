@@ -28,15 +28,6 @@ def _finite_or_zero(value: Column) -> Column:
     return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
 
 
-def _seller_counts(stock: Staged) -> DataFrame:
-    """Distinct sellers per listed item, from the already reduced stock."""
-    return (
-        stock.frame.filter("slot IS NOT NULL AND seller_id IS NOT NULL")
-        .groupBy("chunk", "slot")
-        .agg(F.count(F.lit(1)).alias("company_seller_count"))
-    )
-
-
 def _priced(listed: DataFrame, rounding: Rounding) -> DataFrame:
     """Price, expected units and expected revenue per listed item.
 
@@ -70,21 +61,22 @@ class _Prepared:
     stock: Staged
 
 
-def _prepare(seller_catalog: DataFrame, shortlist: DataFrame, compact_items: int) -> _Prepared:
-    listed = pairs.assign_slots(stage(shortlist, "shortlist"), compact_items)
+def _prepare(seller_catalog: DataFrame, shortlist: DataFrame) -> _Prepared:
+    listed = pairs.assign_slots(stage(shortlist, "shortlist"))
     return _Prepared(listed, pairs.stocked_slots(seller_catalog, listed))
 
 
 def _recommendations(prepared: _Prepared, rounding: Rounding) -> DataFrame:
+    """In order of seller and revenue: the pairs are range-partitioned by seller when they come to be.
+
+    Sorting inside each partition is a global sort that moves no pair; a list of several
+    parts is in order within each part.
+    """
     listed, stock = prepared.listed, prepared.stock
-    counted = listed.frame.join(_seller_counts(stock), ["chunk", "slot"], "left")
+    counted = listed.frame.join(pairs.seller_counts(stock), ["chunk", "slot"], "left")
     found = pairs.expand_open_slots(stock, listed, _priced(counted, rounding))
     order = ["seller_id", F.desc("expected_revenue"), "item_id", "category", "item_name"]
-    if listed.is_compact:
-        # Already range-partitioned by seller, so sorting inside each partition
-        # is a global sort that does not move the expanded rows.
-        return found.select(*RECOMMENDATION_COLUMNS).sortWithinPartitions(*order)
-    return found.select(*RECOMMENDATION_COLUMNS).orderBy(*order)
+    return found.select(*RECOMMENDATION_COLUMNS).sortWithinPartitions(*order)
 
 
 def recommend(
@@ -93,7 +85,6 @@ def recommend(
     competitor_sales: DataFrame,
     top_n: int = 10,
     rounding: Rounding = round_half_up,
-    compact_items: int = pairs.COMPACT_ITEMS,
 ) -> DataFrame:
     """Top items each seller does not stock, by seller and expected revenue.
 
@@ -101,7 +92,7 @@ def recommend(
     written on the way: the top list and the sellers' held slots.
     """
     shortlist = items.shortlist(seller_catalog, company_sales, competitor_sales, top_n)
-    return _recommendations(_prepare(seller_catalog, shortlist, compact_items), rounding)
+    return _recommendations(_prepare(seller_catalog, shortlist), rounding)
 
 
 def generate_recommendations(
@@ -111,13 +102,12 @@ def generate_recommendations(
     top_competitor_items: DataFrame,
     competitor_sales: DataFrame,
     rounding: Rounding = round_half_up,
-    compact_items: int = pairs.COMPACT_ITEMS,
 ) -> DataFrame:
     """The same for top lists chosen by the caller."""
     top_items = items.all_top_items(top_company_items, top_competitor_items)
     chosen = stage(top_items, "top-items").frame
     shortlist = items.shortlist_from_lists(company_sales, competitor_sales, chosen)
-    return _recommendations(_prepare(seller_catalog, shortlist, compact_items), rounding)
+    return _recommendations(_prepare(seller_catalog, shortlist), rounding)
 
 
 def company_gap(
@@ -186,7 +176,7 @@ class RecommendationRun:
 
 def _listed_gap(prepared: _Prepared, rounding: Rounding) -> DataFrame:
     """:func:`company_gap` from the written tables: listed items in nobody's stock."""
-    stocked = prepared.stock.frame.select("chunk", "slot").distinct()
+    stocked = pairs.stocked_by_any(prepared.stock).select("chunk", "slot").distinct()
     return (
         prepared.listed.frame.filter("top_competitor")
         .join(stocked, ["chunk", "slot"], "left_anti")
@@ -218,7 +208,7 @@ def publish_recommendations(
     """
     spark = seller_catalog.sparkSession
     shortlist = items.shortlist(seller_catalog, company_sales, competitor_sales, top_n)
-    prepared = _prepare(seller_catalog, shortlist, pairs.COMPACT_ITEMS)
+    prepared = _prepare(seller_catalog, shortlist)
     write_recommendations(_recommendations(prepared, rounding), output_path, single_file)
     has_gap = write_company_gap(_listed_gap(prepared, rounding), gap_path, single_file)
     written = read_recommendations(spark, output_path)

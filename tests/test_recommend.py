@@ -70,16 +70,20 @@ def _brute_force(catalog, top, company, competitor):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("compact_items", [pairs.COMPACT_ITEMS, 4])
-def test_matches_brute_force(spark, compact_items):
+def _short_chunks(monkeypatch, chunk_items, part_rows=pairs.PART_ROWS):
+    monkeypatch.setattr(pairs, "CHUNK_ITEMS", chunk_items)
+    monkeypatch.setattr(pairs, "PART_ROWS", part_rows)
+
+
+@pytest.mark.parametrize(("chunk_items", "part_rows"), [(pairs.CHUNK_ITEMS, pairs.PART_ROWS), (4, pairs.PART_ROWS), (3, 5)])
+def test_matches_brute_force(spark, monkeypatch, chunk_items, part_rows):
+    _short_chunks(monkeypatch, chunk_items, part_rows)
     catalog, company, competitor = _small(spark)
     top = ops.all_top_items(
         ops.top_company_items(company, catalog, 3), ops.top_competitor_items(competitor, catalog, 3)
     ).collect()
     want = _brute_force(catalog.collect(), top, company.collect(), competitor.collect())
-    got = plans.recommend(
-        catalog, company, competitor, top_n=3, rounding=lambda c: c, compact_items=compact_items
-    ).drop("expected_revenue")
+    got = plans.recommend(catalog, company, competitor, top_n=3, rounding=lambda c: c).drop("expected_revenue")
     got = _rows(got)
     assert [row[:4] for row in got] == [row[:4] for row in want]
     for mine, theirs in zip(got, want, strict=True):
@@ -87,23 +91,24 @@ def test_matches_brute_force(spark, compact_items):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_both_entry_points_agree_for_any_partitioning(spark, seed):
+def test_both_entry_points_agree_for_any_partitioning(spark, seed, monkeypatch):
     catalog, company, competitor = _small(spark, seed)
     lists = (ops.top_company_items(company, catalog), ops.top_competitor_items(competitor, catalog))
     direct = _rows(plans.recommend(catalog, company, competitor))
     assert direct == _rows(plans.generate_recommendations(catalog, company, *lists, competitor))
     shuffled = [df.repartition(n, F.rand(seed)) for df, n in ((catalog, 3), (company, 5), (competitor, 2))]
     assert direct == _rows(plans.recommend(*shuffled))
-    assert direct == _rows(plans.recommend(*shuffled, compact_items=5))
+    _short_chunks(monkeypatch, 5)
+    assert direct == _rows(plans.recommend(*shuffled))
 
 
-@pytest.mark.parametrize("compact_items", [pairs.COMPACT_ITEMS, 7])
-def test_output_is_globally_ordered(spark, compact_items, monkeypatch):
+@pytest.mark.parametrize("chunk_items", [pairs.CHUNK_ITEMS, 7])
+def test_output_is_globally_ordered(spark, chunk_items, monkeypatch):
     monkeypatch.setattr(pairs, "ROWS_PER_TASK", 100)
+    _short_chunks(monkeypatch, chunk_items)
     inputs = [fixture(spark, SF_DIR, n) for n in ("fx_catalog", "fx_company_sales", "fx_competitor_sales")]
-    found = plans.recommend(*inputs, compact_items=compact_items)
-    if compact_items == pairs.COMPACT_ITEMS:
-        assert found.rdd.getNumPartitions() > 1
+    found = plans.recommend(*inputs)
+    assert found.rdd.getNumPartitions() > 1
     rows = [(r["seller_id"], -r["expected_revenue"], r["item_id"]) for r in found.collect()]
     assert rows == sorted(rows)
 
@@ -115,17 +120,18 @@ def test_no_recommended_pair_is_stocked(spark):
     assert not found.isEmpty()
 
 
-def test_missing_items_and_all_pairs(spark):
+def test_missing_items_and_all_pairs(spark, monkeypatch):
     catalog, company, competitor = _small(spark)
     top = ops.catalog_variants(catalog)
     every = catalog.select("seller_id").distinct().crossJoin(top)
     want_pairs = _rows(every.select("seller_id", *top.columns))
     lacking = every.join(catalog, ["seller_id", "item_id"], "left_anti")
     want_missing = _rows(lacking.select("seller_id", *top.columns))
-    for compact_items in (pairs.COMPACT_ITEMS, 3):
-        all_pairs = ops.seller_item_pairs(catalog, top, compact_items)
+    for sizes in ((pairs.CHUNK_ITEMS,), (3,), (2, 4)):
+        _short_chunks(monkeypatch, *sizes)
+        all_pairs = ops.seller_item_pairs(catalog, top)
         assert _rows(all_pairs.select("seller_id", *top.columns)) == want_pairs
-        missing = ops.missing_items(catalog, top, compact_items)
+        missing = ops.missing_items(catalog, top)
         assert _rows(missing.select("seller_id", *top.columns)) == want_missing
 
 
@@ -188,19 +194,32 @@ def test_plans_have_no_cross_joins_and_push_limits_down(spark):
     plan = _plan(shortlist)
     assert len(re.findall(r"WindowGroupLimit .*, Partial", plan)) == 1
     assert plan.count("FileScan") == 4  # two sales tables, and two behind the catalog
-    for df in (shortlist, plans.recommend(*inputs), plans.recommend(*inputs, compact_items=5)):
+    for df in (shortlist, plans.recommend(*inputs)):
         assert "Cartesian" not in _plan(df)
         assert "NestedLoop" not in _plan(df)
 
 
-def test_expanded_pairs_are_not_shuffled(spark):
-    """All exchanges of a compact list lie below the explode of the open slots."""
-    inputs = [fixture(spark, SF_DIR, n) for n in ("fx_catalog", "fx_company_sales", "fx_competitor_sales")]
-    lines = _plan(plans.recommend(*inputs)).splitlines()
-    explode = next(i for i, line in enumerate(lines) if "Generate explode(array_except" in line)
-    above = "\n".join(lines[:explode])
-    assert "Exchange hashpartitioning" not in above
-    assert "Exchange rangepartitioning" not in above
+def _shape(plan):
+    """Operators of a plan, outermost first, without what only differs by name or number."""
+    return [m[1] for m in re.finditer(r"^[ :+\-*()0-9]*([A-Z]\w+)", plan, re.M)]
+
+
+def test_one_plan_for_short_and_long_lists(spark):
+    """Every shuffle lies below the explode of the words, and 200,000 items give the plan of 10."""
+    catalog = spark.range(50).select(
+        F.concat(F.lit("S"), F.col("id") % 3).alias("seller_id"), F.concat(F.lit("I"), F.col("id") * 4001).alias("item_id")
+    )
+    shapes = []
+    for n in (10, 200_000):
+        items = spark.range(n).select(F.concat(F.lit("I"), "id").alias("item_id"), F.lit("x").alias("item_name"))
+        found = ops.missing_items(catalog, items)
+        plan = _plan(found)
+        above = plan[: plan.index("Generate explode(sequence(")]
+        assert "Exchange hashpartitioning" not in above and "Exchange rangepartitioning" not in above
+        shapes.append(_shape(plan))
+        held = sum(4001 * i < n for i in range(50))
+        assert found.count() == 3 * n - held
+    assert shapes[0] == shapes[1]
 
 
 def test_keyed_dedup_prunes_before_the_shuffle(spark):
