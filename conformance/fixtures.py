@@ -2,9 +2,9 @@
 
 The text is valid in Spark SQL and in DuckDB, so a query and its oracle start
 from the same rows. All of them read whole tables: every line makes its supplier a
-seller of the part, except that catalogs list no parts above size 40, so that some
-best sellers are missing from the catalog. ``fx_raw_*`` are all-string rows with
-every kind of defect.
+seller of the part, and lines of one status are one side's sales, or one day's catalog.
+``fx_raw_*`` are all-string rows with every kind of defect; in ``fx_gap_*`` competitors
+sell some items under names that no catalog lists; in ``fx_null_*`` keys have nulls.
 """
 
 from __future__ import annotations
@@ -35,16 +35,28 @@ SELECT {_SELLER} AS seller_id, {_ITEM} AS item_id, {item_name} AS item_name,
        p_type AS category, MAX(p_retailprice) AS marketplace_price,
        CAST(SUM(l_quantity) AS INT) AS stock_qty
 FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE p_size <= 40
 GROUP BY l_suppkey, l_partkey, p_name, p_type"""
 
 
-def _catalog_day(status: str, price: str) -> str:
+def _catalog_day(status: str, price: str, seller: str = _SELLER, item: str = _ITEM) -> str:
     return f"""
-SELECT {_SELLER} AS seller_id, {_ITEM} AS item_id, {price} AS marketplace_price,
+SELECT {seller} AS seller_id, {item} AS item_id, {price} AS marketplace_price,
        CAST(SUM(l_quantity) AS INT) AS stock_qty
 FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE l_linestatus = '{status}' GROUP BY l_suppkey, l_partkey"""
+WHERE l_linestatus = '{status}' GROUP BY {seller}, {item}"""
+
+
+def _competitor_sales(item: str) -> str:
+    return f"""
+SELECT concat('C', CAST(l_suppkey AS STRING)) AS seller_id, {item} AS item_id,
+       CAST(l_quantity AS INT) AS units_sold, l_extendedprice AS revenue,
+       CAST(FLOOR(l_extendedprice / l_quantity) AS DOUBLE) AS marketplace_price,
+       CAST(l_shipdate AS DATE) AS sale_date
+FROM lineitem WHERE l_linestatus = 'F'"""
+
+
+_NULL_SELLER = f"CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE {_SELLER} END"
+_NULL_ITEM = f"CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE {_ITEM} END"
 
 
 FIXTURES: dict[str, str] = {
@@ -56,12 +68,10 @@ FIXTURES: dict[str, str] = {
 SELECT {_ITEM} AS item_id, CAST(l_quantity AS INT) AS units_sold, l_extendedprice AS revenue,
        CAST(l_shipdate AS DATE) AS sale_date
 FROM lineitem WHERE l_linestatus = 'O'""",
-    "fx_competitor_sales": f"""
-SELECT concat('C', CAST(l_suppkey AS STRING)) AS seller_id, {_ITEM} AS item_id,
-       CAST(l_quantity AS INT) AS units_sold, l_extendedprice AS revenue,
-       CAST(FLOOR(l_extendedprice / l_quantity) AS DOUBLE) AS marketplace_price,
-       CAST(l_shipdate AS DATE) AS sale_date
-FROM lineitem WHERE l_linestatus = 'F'""",
+    "fx_competitor_sales": _competitor_sales(_ITEM),
+    "fx_gap_competitor_sales": _competitor_sales(
+        "concat(CASE WHEN l_partkey % 5 = 0 THEN 'N' ELSE 'I' END, CAST(l_partkey AS STRING))"
+    ),
     "fx_raw_catalog": f"""
 SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL
             WHEN l_orderkey % 89 = 0 THEN '  '
@@ -76,8 +86,7 @@ SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL
             WHEN l_orderkey % 59 = 0 THEN '-5'
             WHEN l_orderkey % 53 = 0 THEN '12.7'
             ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS stock_qty
-FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE p_size <= 40""",
+FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "fx_raw_company_sales": f"""
 SELECT {_RAW_ITEM}, {_RAW_UNITS}, {_RAW_REVENUE}, {_RAW_DATE}
 FROM {_REPEATED} WHERE l_linestatus = 'O'""",
@@ -93,6 +102,8 @@ FROM {_REPEATED} WHERE l_linestatus = 'F'""",
     "fx_catalog_day2": _catalog_day(
         "O", "CAST(CAST(MAX(p_retailprice) * 1.1 AS DECIMAL(18,2)) AS DOUBLE)"
     ),
+    "fx_null_day1": _catalog_day("F", "MAX(p_retailprice)", _NULL_SELLER, _NULL_ITEM),
+    "fx_null_day2": _catalog_day("O", "MAX(p_retailprice)", _NULL_SELLER, _NULL_ITEM),
 }
 
 

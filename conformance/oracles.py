@@ -6,10 +6,61 @@ item SQL joins before it sums: none of it shares the shape of the Spark plans.
 
 from __future__ import annotations
 
-from shelfscope import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG, DatasetSpec
+from typing import NamedTuple
 
 from .fixtures import AS_OF, FIXTURES
-from .queries import DAY_1, DAY_2, RAW
+from .queries import DAY_1, DAY_2
+
+
+class Shape(NamedTuple):
+    """What the definitions say of a dataset; nothing of it is taken from the library under test."""
+
+    name: str
+    fields: tuple[tuple[str, str, str | None], ...]
+    keys: tuple[str, ...]
+    order_by: str
+    constants: tuple[tuple[str, str], ...] = ()
+    unique_by_key: bool = False
+
+    @property
+    def columns(self) -> list[str]:
+        return [name for name, _, _ in self.fields]
+
+
+_SALES = (("units_sold", "int", "0"), ("revenue", "double", "0.0"))
+SELLER_CATALOG = Shape(
+    "seller_catalog",
+    (
+        ("seller_id", "text", None),
+        ("item_id", "text", None),
+        ("item_name", "title", None),
+        ("category", "title", None),
+        ("marketplace_price", "double", None),
+        ("stock_qty", "int", "0"),
+    ),
+    ("seller_id", "item_id"),
+    "marketplace_price",
+    unique_by_key=True,
+)
+COMPANY_SALES = Shape("company_sales", (("item_id", "text", None), *_SALES, ("sale_date", "date", None)), ("item_id",), "sale_date")
+COMPETITOR_SALES = Shape(
+    "competitor_sales",
+    (
+        ("seller_id", "text", None),
+        ("item_id", "text", None),
+        *_SALES,
+        ("marketplace_price", "double", "0.0"),
+        ("sale_date", "date", None),
+    ),
+    ("seller_id", "item_id"),
+    "sale_date",
+    constants=(("partition_col", "default"),),
+)
+RAW = {
+    "catalog": (SELLER_CATALOG, "fx_raw_catalog"),
+    "company": (COMPANY_SALES, "fx_raw_company_sales"),
+    "competitor": (COMPETITOR_SALES, "fx_raw_competitor_sales"),
+}
 
 # Fixed patterns of the typed readers, in RE2 syntax.
 INT_PATTERN = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
@@ -60,13 +111,13 @@ def _cleaned(kind: str, column: str) -> str:
     return f"TRY_CAST({year} || '-' || lpad({month}, 2, '0') || '-' || lpad({day}, 2, '0') AS DATE)"
 
 
-def _clean_sql(spec: DatasetSpec, source: str) -> str:
+def _clean_sql(spec: Shape, source: str) -> str:
     columns = []
-    for f in spec.fields:
-        value = _cleaned(f.kind, f.name)
-        if f.default is not None:
-            value = f"COALESCE({value}, {f.default})"
-        columns.append(f"{value} AS {f.name}")
+    for name, kind, default in spec.fields:
+        value = _cleaned(kind, name)
+        if default is not None:
+            value = f"COALESCE({value}, {default})"
+        columns.append(f"{value} AS {name}")
     return f"SELECT {', '.join(columns)} FROM {source}"
 
 
@@ -129,7 +180,7 @@ def _first_per_key(source: str, columns: str, keys, order: str) -> str:
     )
 
 
-def _snapshot_sql(spec: DatasetSpec, source: str) -> str:
+def _snapshot_sql(spec: Shape, source: str) -> str:
     rest = [c for c in spec.columns if c not in spec.keys and c != spec.order_by]
     order = ", ".join(f"{c} DESC" for c in [spec.order_by, *rest])
     columns = ", ".join([*spec.columns, *(f"'{v}' AS {n}" for n, v in spec.constants)])
@@ -193,6 +244,22 @@ def _csv_cell(column: str) -> str:
     return f"CASE WHEN {column} = '' THEN 2 ELSE COALESCE(strlen({column}), 0) END"
 
 
+def _landing_oracles() -> dict[str, str]:
+    ctes = _etl_ctes("company")
+    # The rows in reverse column order break the header's rule; they land nowhere else.
+    counts = "(SELECT COUNT(*) FROM cleaned) AS n, (SELECT COUNT(*) FROM valid) AS v"
+    return {
+        "etl_swapped_header": _with("SELECT * FROM trusted", **ctes),
+        "etl_swapped_quarantine": _with(f"SELECT n AS wrong_header, n - v AS other_reasons FROM (SELECT {counts})", **ctes),
+        "landing_run": _with("SELECT * FROM snapshot", **ctes),
+        "landing_run_summary": _with(
+            "SELECT CAST(2 AS BIGINT) AS runs, 2 * n AS rows_in, v AS rows_valid, "
+            f"(SELECT COUNT(*) FROM snapshot) AS inserts FROM (SELECT {counts})",
+            **ctes,
+        ),
+    }
+
+
 def _source_oracles() -> dict[str, str]:
     sales = COMPANY_SALES.columns
     scanned = ", ".join(f"NULLIF(TRIM({c}), '') AS {c}" for c in sales)
@@ -252,7 +319,21 @@ def _merge_oracles() -> dict[str, str]:
         "COUNT(*) AS total_rows "
         f"FROM fx_catalog_day1 b FULL OUTER JOIN fx_catalog_day2 d ON {_SAME_KEY}"
     )
+    null_key = "d.seller_id IS NOT DISTINCT FROM b.seller_id AND d.item_id IS NOT DISTINCT FROM b.item_id"
+    null_merged = (
+        f"SELECT * FROM fx_null_day1 b WHERE NOT EXISTS (SELECT 1 FROM fx_null_day2 d WHERE {null_key}) "
+        "UNION ALL SELECT * FROM fx_null_day2"
+    )
+    null_summary = _with(
+        "SELECT COUNT(*) FILTER (WHERE b.stock_qty IS NULL) AS inserts, "
+        "COUNT(*) FILTER (WHERE b.stock_qty IS NOT NULL AND d.stock_qty IS NOT NULL) AS updates, "
+        f"COUNT(*) AS total_rows FROM fx_null_day1 b FULL OUTER JOIN fx_null_day2 d ON {null_key}"
+    )
     return {
+        "merge_null_keys": _with(null_merged),
+        "merge_summary_null_keys": null_summary,
+        "bucketed_upsert": _with(null_merged),
+        "bucketed_upsert_summary": null_summary,
         "merge_catalog": _with(_MERGED),
         "merge_replay": _with(_MERGED),
         "upsert_snapshot": _with(
@@ -375,6 +456,7 @@ def _analytics_oracles() -> dict[str, str]:
         "keyed_competitor": _snapshot_sql(COMPETITOR_SALES, "fx_competitor_sales"),
     } | _analytics("fx_catalog", "keyed_company", "keyed_competitor")
 
+    gap = over("gap", _analytics("fx_catalog", "fx_company_sales", "fx_gap_competitor_sales"))
     raw: dict[str, str] = {}
     for short in RAW:
         raw |= _etl_ctes(short, f"{short}_")
@@ -408,6 +490,13 @@ def _analytics_oracles() -> dict[str, str]:
         "all_top_items": over("top_items"),
         "seller_item_pairs": over("pairs"),
         "missing_items": over("missing"),
+        "missing_catalog_variants": _with(
+            "SELECT s.seller_id, COUNT(*) AS variants, COUNT(DISTINCT v.item_id) AS items, MIN(v.item_id) AS first_item "
+            "FROM (SELECT DISTINCT seller_id FROM fx_catalog_variants) s CROSS JOIN variants v "
+            "WHERE NOT EXISTS (SELECT 1 FROM fx_catalog_variants c WHERE c.seller_id = s.seller_id AND c.item_id = v.item_id) "
+            "GROUP BY s.seller_id",
+            **variants,
+        ),
         "seller_recommendations": over("recommendations"),
         "seller_recommendations_from_lists": over("recommendations"),
         "seller_recommendations_variants": over("recommendations", variants),
@@ -415,9 +504,9 @@ def _analytics_oracles() -> dict[str, str]:
         "end_to_end_recommendations": over("recommendations", raw),
         "recommendations_csv": over("recommendations"),
         "published_recommendations": over("recommendations"),
-        "published_gap": over("gap"),
-        "company_gap": over("gap"),
-        "gap_csv": over("gap"),
+        "published_gap": gap,
+        "company_gap": gap,
+        "gap_csv": gap,
         "recommendation_checks": _with(
             f"SELECT *, {' + '.join(checks)} = 0 AS passed FROM (SELECT {counts} FROM recommendations)",
             **base,
@@ -437,7 +526,7 @@ def _all_oracles() -> dict[str, str]:
     oracles: dict[str, str] = {}
     for short in RAW:
         oracles |= _dataset_oracles(short)
-    oracles |= _source_oracles() | _merge_oracles() | _analytics_oracles()
+    oracles |= _source_oracles() | _landing_oracles() | _merge_oracles() | _analytics_oracles()
     oracles["dq_reason_counts"] = _reason_counts()
     oracles["run_metrics"] = _run_metrics()
     oracles["run_summary"] = f"SELECT *, CAST(NULL AS VARCHAR) AS first_error, TRUE AS timed FROM ({_run_metrics()})"

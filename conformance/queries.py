@@ -155,6 +155,67 @@ def ingest_landing(spark, sf_dir):
     return streaming.read_bronze(spark, COMPANY_SALES, f"{root}/bronze")
 
 
+def _swapped_sales(spark, sf_dir, root: str) -> str:
+    """All raw sales twice: as they should be, and in files whose columns are in reverse order."""
+    raw = fixture(spark, sf_dir, "fx_raw_company_sales")
+    _write_csv(raw, root)
+    _write_csv(raw.select(*reversed(raw.columns)), root, mode="append")
+    return root
+
+
+def _swapped_run(spark, sf_dir, root: str) -> plans.EtlRun:
+    path = _swapped_sales(spark, sf_dir, f"{root}/landing")
+    return plans.run_etl_from_csv(spark, COMPANY_SALES, path, f"{root}/table", f"{root}/quarantine", as_of=_as_of())
+
+
+@query("etl_swapped_header")
+def etl_swapped_header(spark, sf_dir):
+    return _swapped_run(spark, sf_dir, fresh_path(spark, "swapped")).table
+
+
+@query("etl_swapped_quarantine")
+def etl_swapped_quarantine(spark, sf_dir):
+    """Rows in the quarantine for their file's header, and for other reasons."""
+    root = fresh_path(spark, "swapped")
+    _swapped_run(spark, sf_dir, root)
+    wrong = F.startswith(F.col("dq_failure_reason"), F.lit("header_mismatch;"))
+    return spark.read.parquet(f"{root}/quarantine").agg(
+        F.count_if(wrong).alias("wrong_header"), F.count_if(~wrong).alias("other_reasons")
+    )
+
+
+def _landing_runs(spark, sf_dir, root: str) -> list[plans.LandingRun]:
+    """Two deliveries of sales, one with files in the wrong column order, and three runs; the last finds nothing."""
+    raw = fixture(spark, sf_dir, "fx_raw_company_sales")
+    early = F.coalesce(F.col("sale_date") < "1995-01-01", F.lit(False))
+
+    def run():
+        return plans.run_landing(spark, COMPANY_SALES, root, buckets=16, as_of=_as_of())
+
+    _write_csv(raw.filter(early), f"{root}/landing/first")
+    first = run()
+    _write_csv(raw.filter(~early), f"{root}/landing/second")
+    _write_csv(raw.select(*reversed(raw.columns)), f"{root}/landing/swapped")
+    return [first, run(), run()]
+
+
+@query("landing_run")
+def landing_run(spark, sf_dir):
+    root = fresh_path(spark, "landing-run")
+    _landing_runs(spark, sf_dir, root)
+    return plans.BucketedTable(spark, COMPANY_SALES, f"{root}/table").read()
+
+
+@query("landing_run_summary")
+def landing_run_summary(spark, sf_dir):
+    root = fresh_path(spark, "landing-run")
+    runs = _landing_runs(spark, sf_dir, root)
+    inserted = reduce(DataFrame.unionByName, [run.summary for run in runs])
+    saved = sinks.read_run_metrics(spark, f"{root}/metrics").select("records.*")
+    counts = saved.agg(F.count(F.lit(1)).alias("runs"), F.sum("input_count").alias("rows_in"), F.sum("valid_count").alias("rows_valid"))
+    return counts.join(F.broadcast(inserted.agg(F.sum("inserts").alias("inserts"))), F.col("runs") > 0)
+
+
 @query("file_inventory")
 def file_inventory(spark, sf_dir):
     root = fresh_path(spark, "inventory")
@@ -267,6 +328,46 @@ def merge_summary(spark, sf_dir):
     return ops.merge_summary(*_days(spark, sf_dir), CATALOG_KEYS)
 
 
+@query("merge_null_keys")
+def merge_null_keys(spark, sf_dir):
+    """Keys with null parts, merged twice."""
+    first, second = (fixture(spark, sf_dir, name) for name in ("fx_null_day1", "fx_null_day2"))
+    once = ops.merge(first, second, CATALOG_KEYS, "marketplace_price")
+    return ops.merge(once, second, CATALOG_KEYS, "marketplace_price")
+
+
+@query("merge_summary_null_keys")
+def merge_summary_null_keys(spark, sf_dir):
+    return ops.merge_summary(fixture(spark, sf_dir, "fx_null_day1"), fixture(spark, sf_dir, "fx_null_day2"), CATALOG_KEYS)
+
+
+def _bucketed(spark, sf_dir) -> tuple[DataFrame, plans.BucketedTable]:
+    """The first day's catalog in buckets by seller, and the second day's upserted one half of the sellers at a time."""
+    first, second = (
+        fixture(spark, sf_dir, name).withColumns({"item_name": F.lit("Item"), "category": F.lit("Shelf")})
+        for name in ("fx_null_day1", "fx_null_day2")
+    )
+    table = plans.BucketedTable(spark, SELLER_CATALOG, fresh_path(spark, "bucketed"))
+    table.create(first, 32, by=["seller_id"])
+    early = F.coalesce(F.col("seller_id") < "S5", F.lit(True))
+    summaries = [table.upsert(second.filter(half)) for half in (early, ~early)]
+    return reduce(DataFrame.unionByName, summaries), table
+
+
+@query("bucketed_upsert")
+def bucketed_upsert(spark, sf_dir):
+    return _bucketed(spark, sf_dir)[1].read().select(*CATALOG_KEYS, "marketplace_price", "stock_qty")
+
+
+@query("bucketed_upsert_summary")
+def bucketed_upsert_summary(spark, sf_dir):
+    """Both upserts together; how many buckets each touches depends on their hash."""
+    summaries = _bucketed(spark, sf_dir)[0]
+    return summaries.agg(
+        F.sum("inserts").alias("inserts"), F.sum("updates").alias("updates"), F.max("total_rows").alias("total_rows")
+    )
+
+
 @query("table_as_of")
 def table_as_of(spark, sf_dir):
     """The table between the two commits and after both."""
@@ -404,6 +505,16 @@ def missing_items(spark, sf_dir):
     return ops.missing_items(*_top_items(spark, sf_dir))
 
 
+@query("missing_catalog_variants")
+def missing_catalog_variants(spark, sf_dir):
+    """Every seller against the whole catalog: per seller, how many variants it lacks and of how many items."""
+    catalog = fixture(spark, sf_dir, "fx_catalog_variants")
+    missing = ops.missing_items(catalog, ops.catalog_variants(catalog))
+    return missing.groupBy("seller_id").agg(
+        F.count(F.lit(1)).alias("variants"), F.count_distinct("item_id").alias("items"), F.min("item_id").alias("first_item")
+    )
+
+
 # --- recommendations --------------------------------------------------------------
 
 
@@ -460,8 +571,13 @@ def recommendations_csv(spark, sf_dir):
     return sinks.read_recommendations(spark, path)
 
 
+def _gap_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    names = ("fx_catalog", "fx_company_sales", "fx_gap_competitor_sales")
+    return tuple(fixture(spark, sf_dir, name) for name in names)
+
+
 def _gap(spark, sf_dir) -> DataFrame:
-    catalog, _, competitor = _clean_inputs(spark, sf_dir)
+    catalog, _, competitor = _gap_inputs(spark, sf_dir)
     return plans.company_gap(ops.top_competitor_items(competitor, catalog), catalog)
 
 
@@ -487,21 +603,19 @@ def recommendation_stats(spark, sf_dir):
     return plans.recommendation_stats(plans.recommend(*_clean_inputs(spark, sf_dir)))
 
 
-def _publish(spark, sf_dir) -> plans.RecommendationRun:
+def _publish(spark, inputs) -> plans.RecommendationRun:
     root = fresh_path(spark, "published")
-    return plans.publish_recommendations(
-        *_clean_inputs(spark, sf_dir), f"{root}/recommendations", f"{root}/company_catalog_gap"
-    )
+    return plans.publish_recommendations(*inputs, f"{root}/recommendations", f"{root}/company_catalog_gap")
 
 
 @query("published_recommendations")
 def published_recommendations(spark, sf_dir):
-    return _publish(spark, sf_dir).recommendations
+    return _publish(spark, _clean_inputs(spark, sf_dir)).recommendations
 
 
 @query("published_gap")
 def published_gap(spark, sf_dir):
-    return _publish(spark, sf_dir).gap
+    return _publish(spark, _gap_inputs(spark, sf_dir)).gap
 
 
 # --- run metrics ------------------------------------------------------------------

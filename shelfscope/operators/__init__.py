@@ -25,7 +25,7 @@ from .items import (
     top_company_items,
     top_competitor_items,
 )
-from .merge import as_of, commit_timeline, merge, merge_summary, reconcile, replace_keys
+from .merge import as_of, commit_timeline, merge, merge_summary, reconcile, replace_keys, without_keys
 from .pairs import missing_items, seller_item_pairs
 from .quality import (
     check_quality,
@@ -72,4 +72,5 @@ __all__ = [
     "top_company_items",
     "top_competitor_items",
     "valid_rows",
+    "without_keys",
 ]

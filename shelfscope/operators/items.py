@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import exact_avg, exact_sum, guarded_ratio
+from .ranking import first_per_group
 
 ITEM_COLUMNS = ("item_id", "category", "item_name")
+#: So many rows of an overall list are picked task by task and merged in one; more are ranked in ranges.
+MOST_LIMITED = 1000
 
 
 def catalog_variants(seller_catalog: DataFrame) -> DataFrame:
@@ -77,18 +79,12 @@ def top_company_items(
 ) -> DataFrame:
     """Best-selling items of every category, numbered by ``rank``.
 
-    The filter on the row number becomes a limit per category inside each task,
-    so a category that holds most items still ships ``top_n`` rows per task.
+    A category that holds most items ships ``top_n`` rows per task, or, for a long list,
+    is ranked by many tasks (see ``ranking``).
     """
-    best_first = Window.partitionBy("category").orderBy(
-        F.desc("total_units_sold"), "item_id", "item_name"
-    )
-    return (
-        item_sales_by_category(company_sales, seller_catalog)
-        .withColumn("rank", F.row_number().over(best_first))
-        .filter(F.col("rank") <= top_n)
-        .select(*ITEM_COLUMNS, "total_units_sold", "rank")
-    )
+    best_first = [F.desc("total_units_sold"), "item_id", "item_name"]
+    totals = item_sales_by_category(company_sales, seller_catalog)
+    return first_per_group(totals, ["category"], best_first, top_n).select(*ITEM_COLUMNS, "total_units_sold", "rank")
 
 
 def _units_per_seller(units: str, sellers: str) -> Column:
@@ -99,18 +95,18 @@ def top_competitor_items(
     competitor_sales: DataFrame, seller_catalog: DataFrame, top_n: int = 10
 ) -> DataFrame:
     """Best-selling competitor items overall, described from the catalog."""
-    return (
-        competitor_item_totals(competitor_sales)
-        .join(catalog_variants(seller_catalog), "item_id", "left")
-        .orderBy(F.desc("total_units_sold"), *ITEM_COLUMNS)
-        .limit(top_n)
-        .select(
-            *ITEM_COLUMNS,
-            "total_units_sold",
-            "avg_marketplace_price",
-            _units_per_seller("total_units_sold", "num_sellers").alias("expected_units_sold"),
-            "num_sellers",
-        )
+    totals = competitor_item_totals(competitor_sales).join(catalog_variants(seller_catalog), "item_id", "left")
+    best_first = [F.desc("total_units_sold"), *ITEM_COLUMNS]
+    if top_n <= MOST_LIMITED:
+        best = totals.orderBy(*best_first).limit(top_n)
+    else:
+        best = first_per_group(totals, [], best_first, top_n).orderBy(*best_first)
+    return best.select(
+        *ITEM_COLUMNS,
+        "total_units_sold",
+        "avg_marketplace_price",
+        _units_per_seller("total_units_sold", "num_sellers").alias("expected_units_sold"),
+        "num_sellers",
     )
 
 
@@ -206,7 +202,7 @@ def shortlist(
             F.col("_competitor").alias("listed"),
         ),
     )
-    best_first = Window.partitionBy("ranking", "section").orderBy(F.desc("units"), *ITEM_COLUMNS)
+    best_first = [F.desc("units"), *ITEM_COLUMNS]
     metrics = (
         "company_total_units",
         "company_market_price",
@@ -214,11 +210,9 @@ def shortlist(
         "competitor_market_price",
         "competitor_expected_units",
     )
+    candidates = facts.select("*", F.inline(candidacies)).filter("listed")
     return (
-        facts.select("*", F.inline(candidacies))
-        .filter("listed")
-        .withColumn("place", F.row_number().over(best_first))
-        .filter(F.col("place") <= top_n)
+        first_per_group(candidates, ["ranking", "section"], best_first, top_n, "place")
         .groupBy(*ITEM_COLUMNS)
         .agg(
             *(F.first(name).alias(name) for name in metrics),

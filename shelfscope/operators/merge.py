@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import first_per_key, latest_per_key
@@ -17,9 +19,23 @@ def reconcile(older: DataFrame, newer: DataFrame) -> DataFrame:
     return older.unionByName(newer, allowMissingColumns=True)
 
 
+def without_keys(base: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``base`` whose key ``gone`` does not have; a NULL key part equals a NULL."""
+    return base.join(_named(gone, keys), _same_key(keys), "left_anti")
+
+
+def _named(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*(F.col(key).alias(f"_other_{key}") for key in keys))
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    """Null-safe equality, on which Spark still hashes, sorts or broadcasts."""
+    return reduce(and_, (F.col(key).eqNullSafe(F.col(f"_other_{key}")) for key in keys))
+
+
 def replace_keys(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``base`` without the keys of ``batch``, followed by ``batch``."""
-    return reconcile(base.join(batch.select(*keys), list(keys), "left_anti"), batch)
+    return reconcile(without_keys(base, batch, keys), batch)
 
 
 def merge(
@@ -29,20 +45,21 @@ def merge(
 
     ``base`` is a keyed table and is only filtered: it is not shuffled at all
     while the incoming keys are small enough to broadcast. Merging the same
-    batch again changes nothing.
+    batch again changes nothing. NULL is a value like any other in a key.
     """
-    kept = base.join(incoming.select(*keys).distinct(), list(keys), "left_anti")
+    kept = without_keys(base, incoming.select(*keys).distinct(), keys)
     return reconcile(kept, latest_per_key(incoming, keys, order_by))
 
 
 def merge_summary(base: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: keys inserted, keys updated and table size after the merge.
 
-    Both sides are reduced to their keys. The base is probed as the streamed side
-    of the join and each side sends one partial count per task.
+    Both sides are reduced to their keys, in which NULL equals NULL. The base is probed
+    as the streamed side of the join and each side sends one partial count per task.
     """
-    arriving = incoming.select(*keys).distinct().withColumn("_arriving", F.lit(True))
-    probed = base.select(*keys).join(arriving, list(keys), "left")
+    arriving = incoming.select(*keys).distinct()
+    known = _named(arriving, keys).withColumn("_arriving", F.lit(True))
+    probed = base.select(*keys).join(known, _same_key(keys), "left")
     zero = F.lit(0).cast("long")
     table_side = probed.agg(
         F.count(F.lit(1)).alias("base_rows"),

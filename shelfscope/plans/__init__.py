@@ -1,7 +1,9 @@
 """Whole jobs composed from the operators."""
 
+from .buckets import BUCKET_SUMMARY, BucketedTable
 from .etl import EtlRun, run_datasets, run_etl, run_etl_from_csv, trusted_rows
 from .incremental import upsert_snapshot
+from .landing import LandingRun, run_landing
 from .recommendations import (
     RecommendationRun,
     company_gap,
@@ -14,7 +16,10 @@ from .recommendations import (
 )
 
 __all__ = [
+    "BUCKET_SUMMARY",
+    "BucketedTable",
     "EtlRun",
+    "LandingRun",
     "RecommendationRun",
     "company_gap",
     "generate_recommendations",
@@ -25,6 +30,7 @@ __all__ = [
     "run_datasets",
     "run_etl",
     "run_etl_from_csv",
+    "run_landing",
     "trusted_rows",
     "upsert_snapshot",
     "validate_recommendations",

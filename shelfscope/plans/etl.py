@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +15,22 @@ from ..operators.clean import clean
 from ..operators.dedup import remove_duplicates
 from ..operators.quality import check_quality
 from ..sinks import RunMetrics, write_quarantine, write_run_metrics, write_table
-from ..sources import file_inventory, has_input, scan_csv
-from ..specs import REASON_COLUMN, DatasetSpec
+from ..sources import file_inventory, has_input, mark_wrong_headers
+from ..specs import REASON_COLUMN, WRONG_HEADER, DatasetSpec, Rule
 from ..staging import stage
 
 logger = logging.getLogger(__name__)
 
 
+def _checked(raw: DataFrame, spec: DatasetSpec, as_of: Column | None) -> DataFrame:
+    """Cleaned rows with their reason; rows marked for their file's header break that rule first."""
+    if WRONG_HEADER not in raw.columns:
+        return check_quality(clean(raw, spec), spec, as_of)
+    rule = Rule(WRONG_HEADER, lambda day: F.col(WRONG_HEADER))
+    cleaned = raw.select(*(field.cleaned() for field in spec.fields), WRONG_HEADER)
+    return check_quality(cleaned, replace(spec, rules=(rule, *spec.rules)), as_of)
+
+
 def trusted_rows(raw: DataFrame, spec: DatasetSpec, as_of: Column | None = None) -> DataFrame:
     """Clean, keep the valid rows and de-duplicate, as one lazy frame."""
     checked = check_quality(clean(raw, spec), spec, as_of)
@@ -49,7 +58,8 @@ def run_etl(
     """Run one dataset end to end, reading the raw rows exactly once.
 
     The checked rows are written once, split by outcome, with the counts taken
-    on the way. The quarantine then reads only the bad part and the trusted table
+    on the way. Rows may come marked by ``sources.mark_wrong_headers``; those of a file
+    with a wrong header go to the quarantine with that reason. The quarantine then reads only the bad part and the trusted table
     only the good part. ``staging_path`` names the folder for the split rows;
     by default a new one in the shared folder.
     """
@@ -57,7 +67,7 @@ def run_etl(
     metrics = RunMetrics(f"etl_{spec.name}")
     try:
         passed = F.col(REASON_COLUMN) == ""
-        checked = check_quality(clean(raw, spec), spec, as_of).withColumn("_passed", passed)
+        checked = _checked(raw, spec, as_of).withColumn("_passed", passed)
         split = stage(
             checked,
             f"{spec.name}-checked",
@@ -107,11 +117,15 @@ def run_etl_from_csv(
     quarantine_path: str,
     **options,
 ) -> EtlRun:
-    """:func:`run_etl` over CSV files; raises when there is nothing to load."""
+    """:func:`run_etl` over CSV files; raises when there is nothing to load.
+
+    Headers are checked first: rows of a file whose header is not the dataset's would land
+    in the wrong columns, so they go to the quarantine, and the other files load.
+    """
     inventory = file_inventory(spark, input_path)
     if not has_input(inventory, single_file=input_path.endswith(".csv")):
         raise ValueError(f"no input for {spec.name} under {input_path}")
-    raw = scan_csv(spark, spec, input_path)
+    raw = mark_wrong_headers(spark, spec, input_path)
     return run_etl(raw, spec, table_path, quarantine_path, **options)
 
 

@@ -6,7 +6,9 @@ from .preflight import (
     file_inventory,
     has_input,
     header_contract,
+    headers_of,
     line_profile,
+    mark_wrong_headers,
     min_row_count,
 )
 
@@ -17,7 +19,9 @@ __all__ = [
     "file_inventory",
     "has_input",
     "header_contract",
+    "headers_of",
     "line_profile",
+    "mark_wrong_headers",
     "min_row_count",
     "read_commit_log",
     "read_evolved",

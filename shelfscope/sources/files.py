@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import COMMIT_COLUMN
@@ -17,6 +19,17 @@ CSV_OPTIONS = {
 }
 
 
+def plain_path(path: Column) -> Column:
+    """File paths reach us as ``file:/x``, ``file:///x`` and percent-encoded; one form of a reported path."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, r"^file:/+", "file:/")
+
+
+def literal_path(path: str) -> str:
+    """A path whose name is no pattern to Spark's readers."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def csv_glob(path: str) -> str:
     """One ``.csv`` file as it is, a folder as the pattern of its CSV files."""
     return path if path.endswith(".csv") else f"{path.rstrip('/')}/*.csv"

@@ -7,24 +7,19 @@ and a large file is shared among as many tasks as it has splits.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..specs import DatasetSpec
-from .files import csv_glob
+from ..specs import WRONG_HEADER, DatasetSpec
+from ..staging import stage
+from .files import csv_glob, literal_path, plain_path, scan_csv
 
 INVENTORY_SCHEMA = "path string, size_bytes bigint, is_empty boolean"
 
 
-def _same_form(path: Column) -> Column:
-    """File paths reach us as ``file:/x``, ``file:///x`` and percent-encoded."""
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, r"^file:/+", "file:/")
-
-
 def _no_match(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
@@ -45,7 +40,7 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     if not listed:
         return spark.createDataFrame([], INVENTORY_SCHEMA)
     names = spark.createDataFrame([(name,) for name in listed], "listed string").select(
-        _same_form(F.col("listed")).alias("path")
+        plain_path(F.col("listed")).alias("path")
     )
     # The path column of this source is not percent-encoded.
     sized = (
@@ -72,38 +67,45 @@ def has_input(inventory: DataFrame, single_file: bool = False) -> bool:
     return not usable.isEmpty()
 
 
-def line_profile(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
-    """``path, n_rows, header_ok`` of every CSV file.
+def _profile(lines: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """``path, n_rows, header_ok`` of every file that has a line.
 
-    ``n_rows`` counts physical lines below the first. The first line of a file is
-    the one with the smallest id among the lines of its first block; the header
-    is right if the smallest id among the lines equal to the expected header is
-    that same id.
+    The first line of a file is the one with the smallest id among the lines of its first
+    block; the header is right if the smallest id among the lines equal to the expected
+    header is that same id.
     """
     expected = F.replace("value", F.lit('"'), F.lit("")) == F.lit(spec.header_line)
     # Numbered in a projection of its own: inside a condition the id would count
     # only the lines for which the condition is evaluated.
-    numbered = spark.read.text(csv_glob(path)).select(
+    numbered = lines.select(
         F.col("_metadata.file_path").alias("listed"),
         (F.col("_metadata.file_block_start") == 0).alias("first_block"),
         expected.alias("is_header"),
         F.monotonically_increasing_id().alias("line_id"),
     )
-    lines = numbered.select(
+    marked = numbered.select(
         "listed",
         F.when(F.col("first_block"), F.col("line_id")).alias("line_id"),
         F.when(F.col("first_block") & F.col("is_header"), F.col("line_id")).alias("header_id"),
     )
-    profile = lines.groupBy("listed").agg(
+    profile = marked.groupBy("listed").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.min("line_id").alias("first_id"),
         F.min("header_id").alias("header_id"),
     )
-    scanned = profile.select(
-        _same_form(F.col("listed")).alias("path"),
+    return profile.select(
+        plain_path(F.col("listed")).alias("path"),
         (F.col("n_lines") - 1).alias("n_rows"),
         F.col("first_id").eqNullSafe(F.col("header_id")).alias("header_ok"),
     )
+
+
+def line_profile(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+    """``path, n_rows, header_ok`` of every CSV file.
+
+    ``n_rows`` counts physical lines below the first.
+    """
+    scanned = _profile(spark.read.text(csv_glob(path)), spec)
     return (
         file_inventory(spark, path)
         .join(scanned, "path", "left")
@@ -115,6 +117,30 @@ def line_profile(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame
     )
 
 
+def headers_of(spark: SparkSession, spec: DatasetSpec, paths: Sequence[str]) -> DataFrame:
+    """``path, header_ok`` of these files (paths in the form of ``plain_path``), as far as they have a line."""
+    if not paths:
+        return spark.createDataFrame([], "path string, header_ok boolean")
+    return _profile(spark.read.text([literal_path(path) for path in paths]), spec).select("path", "header_ok")
+
+
+def mark_wrong_headers(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+    """Rows of the dataset's CSV files, and whether their file's header is wrong (``WRONG_HEADER``).
+
+    The files are checked first, in a pass over their lines that keeps one row per file; the
+    bad ones are written, so they are broadcast only if that table is small. With none, the
+    scan is as it would be without the check.
+    """
+    bad = stage(header_contract(spark, spec, path).filter(~F.col("header_ok")).select("path"), "bad-headers")
+    rows = scan_csv(spark, spec, path)
+    if not bad.rows:
+        bad.drop()
+        return rows.withColumn(WRONG_HEADER, F.lit(False))
+    marked = bad.frame.withColumn(WRONG_HEADER, F.lit(True))
+    named = rows.select("*", plain_path(F.col("_metadata.file_path")).alias("path")).join(marked, "path", "left")
+    return named.select(*spec.columns, F.coalesce(WRONG_HEADER, F.lit(False)).alias(WRONG_HEADER))
+
+
 def header_contract(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
     """Per file, whether its header is exactly the expected ordered list."""
     return line_profile(spark, spec, path).select("path", "header_ok")

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from .functions import clean_text, title_text, to_date, to_double, to_int
 
 REASON_COLUMN = "dq_failure_reason"
+#: Code, and marking column, of rows whose file has another header than the dataset's.
+WRONG_HEADER = "header_mismatch"
 
 _READERS: dict[str, Callable[[Column], Column]] = {
     "text": clean_text,

@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 
 from shelfscope import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG
-from shelfscope import sources, streaming
+from shelfscope import operators as ops
+from shelfscope import plans, sources, streaming
 from shelfscope.sinks import reports
 
 HEADER = "item_id,units_sold,revenue,sale_date"
@@ -175,3 +176,105 @@ def test_landing_reads_old_files_and_refuses_used_names(spark, tmp_path):
     run()
     run()
     assert landed() == ["I1", "I2", "I3"]
+
+
+def test_landing_that_dies_between_rows_and_ledger_loses_nothing(spark, tmp_path, monkeypatch):
+    places = [str(tmp_path / name) for name in ("landing", "bronze", "checkpoint")]
+    source, archive = tmp_path / "landing", str(tmp_path / "archive")
+
+    def run():
+        return streaming.ingest_landing(spark, COMPANY_SALES, *places, archive=archive)
+
+    def landed():
+        return sorted(r.item_id for r in streaming.read_bronze(spark, COMPANY_SALES, places[1]).collect())
+
+    _put(source, "a.csv", [HEADER, "I1,1,1.0,2025-01-01"])
+    run()
+    late = _put(source, "b.csv", [HEADER, "I2,1,1.0,2025-01-01", "I3,1,1.0,2025-01-01"])
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(streaming.landing, "_note_batch", die)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert landed() == ["I1", "I2", "I3"] and late.exists()
+    # Delivered again under the name of the file whose batch is not settled: refused, nothing moved.
+    kept = late.read_text()
+    _put(source, "b.csv", [HEADER, "I9,1,1.0,2025-01-01"])
+    with pytest.raises(ValueError, match="used name"):
+        run()
+    assert landed() == ["I1", "I2", "I3"]
+    # Under a name of its own it lands; the batch that was written is kept, though its file has gone.
+    late.rename(source / "c.csv")
+    run()
+    run()
+    assert landed() == ["I1", "I2", "I3", "I9"]
+    assert "I2" in kept
+    assert streaming.landed_batches(spark, places[2]) == ["0000000000", "0000000001", "0000000002"]
+
+
+def test_landing_marks_rows_of_files_with_another_header(spark, tmp_path):
+    places = [str(tmp_path / name) for name in ("landing", "bronze", "checkpoint")]
+    _put(tmp_path / "landing", "good [1] 100%25.csv", [HEADER, "I1,1,1.0,2025-01-01"])
+    _put(tmp_path / "landing", "bad.csv", ["units_sold,item_id,revenue,sale_date", "1,I2,1.0,2025-01-01"])
+    streaming.ingest_landing(spark, COMPANY_SALES, *places)
+    rows = streaming.read_landed(spark, COMPANY_SALES, places[1], places[2])
+    assert sorted((r.item_id, r.header_mismatch) for r in rows.collect()) == [("1", True), ("I1", False)]
+    none = streaming.read_landed(spark, COMPANY_SALES, places[1], places[2], ["0000000007"])
+    assert none.count() == 0
+
+
+def test_landing_refuses_a_foreign_checkpoint(spark, tmp_path):
+    _put(tmp_path / "landing", "a.csv", [HEADER, "I1,1,1.0,2025-01-01"])
+    places = [str(tmp_path / name) for name in ("landing", "bronze")]
+    streaming.ingest_landing(spark, COMPANY_SALES, *places, str(tmp_path / "one"))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        streaming.ingest_landing(spark, COMPANY_SALES, *places, str(tmp_path / "two"))
+
+
+def test_etl_loads_the_good_file_only(spark, tmp_path):
+    body = [f"I{i},1,1.0,2025-01-0{i}" for i in range(1, 4)]
+    _put(tmp_path / "in", "good.csv", [HEADER, *body, "I9,-1,1.0,2025-01-01"])
+    _put(tmp_path / "in", "swapped.csv", ["revenue,units_sold,item_id,sale_date", "1.0,1,I7,2025-01-01"])
+    run = plans.run_etl_from_csv(spark, COMPANY_SALES, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "q"))
+    assert sorted(r.item_id for r in run.table.collect()) == ["I1", "I2", "I3"]
+    reasons = sorted(r.dq_failure_reason for r in spark.read.parquet(str(tmp_path / "q")).collect())
+    assert reasons == ["header_mismatch;", "units_sold_negative;"]
+    counts = run.metrics.select("records.*").first()
+    assert (counts.input_count, counts.valid_count, counts.invalid_count) == (5, 3, 2)
+
+
+def test_landing_run_is_repeatable(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    _put(tmp_path / "landing", "a.csv", [HEADER, "I1,1,1.0,2025-01-01", "I2,1,1.0,2025-01-01", "I3,x,1.0,bad"])
+
+    def run():
+        return plans.run_landing(spark, COMPANY_SALES, root, buckets=4)
+
+    def table():
+        read = plans.BucketedTable(spark, COMPANY_SALES, f"{root}/table").read()
+        return sorted((r.item_id, r.units_sold) for r in read.collect())
+
+    # The first run dies after the upsert, before its batch counts as taken in.
+    def die(self, *args):
+        original(self, *args)
+        raise RuntimeError("lost")
+
+    original = plans.BucketedTable.upsert
+    with monkeypatch.context() as broken:
+        broken.setattr(plans.BucketedTable, "upsert", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            run()
+    first = run()
+    assert (first.batches, tuple(first.summary.first())[:3]) == (["0000000000"], (0, 2, 2))
+    _put(tmp_path / "landing", "b.csv", [HEADER, "I2,7,1.0,2025-02-01", "I4,1,1.0,2025-01-01"])
+    second = run()
+    assert tuple(second.summary.first())[:3] == (1, 1, 3)
+    assert table() == [("I1", 1), ("I2", 7), ("I4", 1)]
+    nothing = run()
+    assert nothing.batches == [] and tuple(nothing.summary.first())[:3] == (0, 0, 3)
+    log = sources.read_commit_log(spark, f"{root}/commits", COMPANY_SALES.typed_schema)
+    before = ops.as_of(log, ["item_id"], "0000000000")
+    assert sorted((r.item_id, r.units_sold) for r in before.collect()) == [("I1", 1), ("I2", 1)]

@@ -110,3 +110,106 @@ def test_upsert_carries_added_columns(spark, tmp_path):
     found = sources.added_columns(spark, SELLER_CATALOG, f"{tmp_path}/v3")
     origins = sources.read_snapshot(spark, SELLER_CATALOG, f"{tmp_path}/v3", found).select("item_id", "origin")
     assert _rows(origins) == [("I0", None), ("I1", None), ("I2", "web"), ("I9", None)]
+
+
+def _with_nulls(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_null_key_parts_are_equal(spark):
+    base = _with_nulls(spark, [(None, "I1", 1.0, 1), ("S1", None, 1.0, 1), (None, None, 1.0, 1), ("S1", "I1", 1.0, 1)])
+    batch = _with_nulls(spark, [(None, "I1", 2.0, 1), (None, None, 2.0, 1), ("S2", None, 2.0, 1), (None, "I1", 1.5, 1)])
+    once = ops.merge(base, batch, KEYS, "marketplace_price")
+    want = [("S1", None, 1.0), (None, None, 2.0), (None, "I1", 2.0), ("S1", "I1", 1.0), ("S2", None, 2.0)]
+    assert sorted((tuple(r)[:3] for r in once.collect()), key=repr) == sorted(want, key=repr)
+    again = ops.merge(once, batch, KEYS, "marketplace_price")
+    assert sorted(again.collect(), key=repr) == sorted(once.collect(), key=repr)
+    assert tuple(ops.merge_summary(base, batch, KEYS).first()) == (1, 2, 5)
+    assert tuple(ops.merge_summary(once, batch, KEYS).first()) == (0, 3, 5)
+    assert "NestedLoop" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+CATALOG = SELLER_CATALOG.typed_schema
+
+
+def _catalog(spark, keys, price):
+    rows = [(s, i, "Lamp", "Home", price, 1) for s, i in keys]
+    return spark.createDataFrame(rows, CATALOG)
+
+
+def _files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.glob("_bucket=*/*.parquet")}
+
+
+def _prices(table):
+    return sorted(((r.seller_id, r.item_id, r.marketplace_price) for r in table.read().collect()), key=repr)
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    table = plans.BucketedTable(spark, SELLER_CATALOG, str(tmp_path / "t"))
+    keys = [(f"S{i % 50}", f"I{i}") for i in range(2000)] + [(None, "I1"), ("S1", None), (None, None)]
+    assert table.create(_catalog(spark, keys, 1.0).repartition(4), 64) == 2003
+    before = _files(tmp_path / "t")
+    # A thousandth of the keys, one of them null, and a new one.
+    batch = _catalog(spark, [("S1", "I1"), (None, "I1"), ("S9", "new")], 2.0)
+    summary = table.upsert(batch).first()
+    assert tuple(summary) == (1, 2, 2004, summary.touched_buckets, 64)
+    assert 1 <= summary.touched_buckets <= 3
+    after = _files(tmp_path / "t")
+    changed = {f.split("/")[0] for f in before.keys() ^ after.keys()} | {f.split("/")[0] for f in before if before[f] != after.get(f)}
+    assert len(changed) == summary.touched_buckets
+    want = {(s, i): 1.0 for s, i in keys} | {("S1", "I1"): 2.0, (None, "I1"): 2.0, ("S9", "new"): 2.0}
+    assert _prices(table) == sorted(((s, i, p) for (s, i), p in want.items()), key=repr)
+    assert tuple(table.upsert(batch).first())[:3] == (0, 3, 2004)
+    assert _prices(table) == sorted(((s, i, p) for (s, i), p in want.items()), key=repr)
+    nothing = table.upsert(batch.limit(0)).first()
+    assert tuple(nothing) == (0, 0, 2004, 0, 64)
+
+
+def test_bucketed_upsert_reads_only_touched_buckets(spark, tmp_path):
+    table = plans.BucketedTable(spark, SELLER_CATALOG, str(tmp_path / "t"))
+    table.create(_catalog(spark, [(f"S{i}", f"I{k}") for i in range(20) for k in range(20)], 1.0), 16, by=["seller_id"])
+    one_seller = _catalog(spark, [("S3", f"I{k}") for k in range(25)], 3.0)
+    assert tuple(table.upsert(one_seller).first()) == (5, 20, 405, 1, 16)
+    assert table.read().filter("marketplace_price = 3.0").count() == 25
+
+
+def test_bucketed_upsert_survives_a_dead_run(spark, tmp_path, monkeypatch):
+    table = plans.BucketedTable(spark, SELLER_CATALOG, str(tmp_path / "t"))
+    table.create(_catalog(spark, [("S1", f"I{i}") for i in range(40)], 1.0), 8)
+    batch = _catalog(spark, [("S1", "I3"), ("S2", "I3")], 2.0)
+    calls = []
+
+    def die(self):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("the driver is lost before the table's files are replaced")
+        original(self)
+
+    original = plans.BucketedTable._finish
+    monkeypatch.setattr(plans.BucketedTable, "_finish", die)
+    with pytest.raises(RuntimeError):
+        table.upsert(batch)
+    monkeypatch.setattr(plans.BucketedTable, "_finish", original)
+    # The pending change counts already, and a bucket that was deleted in the middle is not missed.
+    pending = [p.name for p in (tmp_path / "t" / "_pending").glob("_bucket=*")]
+    for file in (tmp_path / "t" / pending[0]).iterdir():
+        file.unlink()
+    merged = _prices(table)
+    assert len(merged) == 41 and ("S1", "I3", 2.0) in merged and ("S2", "I3", 2.0) in merged
+    assert tuple(table.upsert(_catalog(spark, [("S5", "I5")], 5.0)).first())[:3] == (1, 0, 42)
+    assert len(_prices(table)) == 42 and not (tmp_path / "t" / "_pending").exists()
+
+
+def test_bucketed_table_takes_new_columns_and_feeds_the_log(spark, tmp_path):
+    table = plans.BucketedTable(spark, SELLER_CATALOG, str(tmp_path / "t"))
+    log = str(tmp_path / "log")
+    table.create(_catalog(spark, [("S1", f"I{i}") for i in range(9)], 1.0), 4)
+    table.upsert(_catalog(spark, [("S1", "I0")], 2.0).withColumn("origin", F.lit("web")), log, "20250101000000000")
+    table.upsert(_catalog(spark, [("S1", "I1")], 3.0), log, "20250102000000000")
+    origins = {r.item_id: r.origin for r in table.read().collect()}
+    assert origins == {f"I{i}": "web" if i == 0 else None for i in range(9)}
+    commits = ops.commit_timeline(sources.read_commit_log(spark, log, CATALOG)).collect()
+    assert [tuple(c) for c in commits] == [("20250101000000000", 1), ("20250102000000000", 1)]
+    with pytest.raises(ValueError, match="origin"):
+        table.upsert(_catalog(spark, [("S1", "I1")], 3.0).withColumn("origin", F.lit(1)))

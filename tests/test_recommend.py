@@ -6,11 +6,12 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from conformance.fixtures import fixture
 from shelfscope import operators as ops
 from shelfscope import plans, sinks
-from shelfscope.operators import pairs
+from shelfscope.operators import pairs, ranking
 from shelfscope.staging import stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -222,6 +223,37 @@ def test_one_plan_for_short_and_long_lists(spark):
     assert shapes[0] == shapes[1]
 
 
+def test_long_lists_are_ranked_in_ranges(spark):
+    """5,000 of a category with nearly all of 40,000 rows: the same rows as a window finds, and no task with the category."""
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 50 > 0, "hot").when(F.col("id") % 100 == 0, "cold").alias("category"),
+        (F.xxhash64("id") % 300).alias("units"),
+        F.col("id").alias("item"),
+    )
+    order = [F.desc("units"), "item"]
+    found = ranking.first_per_group(rows, ["category"], order, 5000)
+    window = Window.partitionBy("category").orderBy(*order)
+    want = rows.withColumn("rank", F.row_number().over(window)).filter("rank <= 5000")
+    assert _rows(found) == _rows(want) and found.count() == 5000 + 400 + 400
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and all("_range" in line for line in plan.splitlines() if "Window [" in line)
+    ranges = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in found.inputFiles() if "/shelfscope-ranges-" in f})
+    largest = ranges.filter("category = 'hot'").groupBy("_range").count().agg(F.max("count")).first()[0]
+    assert largest < 40_000 / 4
+    overall = ranking.first_per_group(rows, [], order, 2000).drop("rank")
+    assert _rows(overall) == _rows(rows.orderBy(*order).limit(2000))
+    assert ranking.first_per_group(rows.limit(0), ["category"], order, 5000).count() == 0
+
+
+def test_long_top_lists_agree_with_short_ones(spark):
+    inputs = [fixture(spark, SF_DIR, n) for n in ("fx_catalog", "fx_company_sales", "fx_competitor_sales")]
+    catalog, company, competitor = inputs
+    short = ops.top_company_items(company, catalog, 1000)
+    assert _rows(ops.top_company_items(company, catalog, 1001)) == _rows(short)
+    assert _rows(ops.top_competitor_items(competitor, catalog, 1001)) == _rows(ops.top_competitor_items(competitor, catalog, 1000))
+    assert _rows(ops.items.shortlist(*inputs, top_n=1001)) == _rows(ops.items.shortlist(*inputs, top_n=1000))
+
+
 def test_keyed_dedup_prunes_before_the_shuffle(spark):
     catalog = fixture(spark, SF_DIR, "fx_catalog")
     plan = _plan(ops.best_price_per_key(catalog))
