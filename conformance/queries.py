@@ -187,7 +187,7 @@ def etl_swapped_quarantine(spark, sf_dir):
 def _landing_runs(spark, sf_dir, root: str) -> list[plans.LandingRun]:
     """Two deliveries of sales, one with files in the wrong column order, and three runs; the last finds nothing."""
     raw = fixture(spark, sf_dir, "fx_raw_company_sales")
-    early = F.coalesce(F.col("sale_date") < "1995-01-01", F.lit(False))
+    early = F.coalesce(F.col("sale_date") < "1997-01-01", F.lit(False))
 
     def run():
         return plans.run_landing(spark, COMPANY_SALES, root, buckets=16, as_of=_as_of())
