@@ -11,6 +11,7 @@ are not read again.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -21,6 +22,8 @@ from pyspark.sql.window import Window
 
 from ..staging import stage
 
+#: Rows of a range on average, whatever their group.
+ROWS_PER_RANGE = 500_000
 _THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
@@ -38,8 +41,9 @@ def first_per_group(df: DataFrame, group: Sequence[str], ordering: Sequence[Colu
 
 def _first_by_ranges(df: DataFrame, group: list[str], ordering: list[Column | str], n: int, rank: str) -> DataFrame:
     # Written first: the range partitioning looks at its input twice.
-    rows = stage(df, "unranked").frame
-    ranges = rows.repartitionByRange(*group, *ordering).withColumn("_range", F.spark_partition_id())
+    rows = stage(df, "unranked")
+    tasks = max(1, math.ceil(rows.rows / ROWS_PER_RANGE))
+    ranges = rows.frame.repartitionByRange(tasks, *group, *ordering).withColumn("_range", F.spark_partition_id())
     sorted_rows = stage(ranges, "ranges").frame
     counts = sorted_rows.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -223,8 +223,9 @@ def test_one_plan_for_short_and_long_lists(spark):
     assert shapes[0] == shapes[1]
 
 
-def test_long_lists_are_ranked_in_ranges(spark):
+def test_long_lists_are_ranked_in_ranges(spark, monkeypatch):
     """5,000 of a category with nearly all of 40,000 rows: the same rows as a window finds, and no task with the category."""
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 2500)
     rows = spark.range(0, 40_000, 1, 8).select(
         F.when(F.col("id") % 50 > 0, "hot").when(F.col("id") % 100 == 0, "cold").alias("category"),
         (F.xxhash64("id") % 300).alias("units"),
