@@ -245,6 +245,6 @@ def test_audit_of_nothing(spark):
 
 def test_queries_leave_the_session_as_it_was(spark):
     before = dict(spark.conf.getAll)
-    for name in ("op11_warc_revisits", "op12_hard_negatives", "op13_source_divergence"):
+    for name in ("op9_byte_bpe", "op11_warc_revisits", "op12_hard_negatives", "op13_source_divergence"):
         queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
     assert dict(spark.conf.getAll) == before

@@ -221,6 +221,16 @@ def test_pipeline_equals_brute_force(spark, reference_encoder):
         assert r.decoded_sha256 == brute.sha(clean_texts[r.doc_id])
 
 
+def test_dedup_knows_a_row_by_its_id_and_text(spark):
+    a, b = "one two three four five six seven eight", "quite another text of more than five words"
+    rows = [(None, a), (None, a), (5, a), (7, a), (7, b), (5, a), (None, "something else that nobody else has said before"), (None, ""), (None, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.ngram_dedup(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    want = [(5, a), (7, b), (None, "something else that nobody else has said before"), (None, ""), (None, ""), (8, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline_stages_keep_extra_columns(spark):
     docs = queries.table(spark, SF_DIR, "documents").withColumn("kept", F.lit("mine")).withColumn("pii", F.lit("mine"))
     for stage in (corpus_pipeline.quality_rules, corpus_pipeline.redact_pii):
