@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.llm import bpe, mixing, ngram_join, pii, quality
-from shelfscope.llm.queries import MIXTURE, public_vocabulary, shorten_plan_texts, table
+from shelfscope.llm import mixing, ngram_join, pii, quality
+from shelfscope.llm.queries import MIXTURE, table, token_digests
 from shelfscope.staging import Workspace
 
 
@@ -23,10 +23,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of near-duplicates the document of smallest id; rows that repeat an id are one document."""
-    groups = ngram_join.jaccard_components(docs.select("doc_id", "text"))
-    dropped = groups.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    """Keep of each group of near-duplicates one row, of the smallest id; null ids come last.
+
+    A row is known by its id and its text, so one id's other texts are rows of their own,
+    and rows without an id are compared like all. Rows equal in both are copies: one stays.
+    Texts without words link with nothing, and all stay.
+    """
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("hash"))
+    groups = ngram_join.jaccard_components(docs.select(row.alias("row"), "text"), key="row").filter("n_shingles > 0")
+    space = Workspace(spark, "dedup")
+    gone = space.stage(groups.filter("row != component_id").select(F.col("row").alias("_gone")).distinct(), "gone").frame
+    copies = groups.filter("row = component_id").groupBy(F.col("row").alias("_copied")).count().filter("count > 1")
+    repeated = space.stage(copies.select("_copied"), "repeated")
+    kept = docs.withColumn("_row", row).join(gone, F.col("_row") == F.col("_gone"), "left_anti")
+    if repeated.rows:
+        again = F.col("_row") == F.col("_copied")
+        single = kept.join(repeated.frame, again, "left_semi").dropDuplicates(["_row"])
+        kept = kept.join(repeated.frame, again, "left_anti").unionByName(single)
+    return kept.select(*docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, their count, and digests of the ids and of what they decode to."""
-    shorten_plan_texts(spark)
-    vocabulary = public_vocabulary()
-    encoded = bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), vocabulary)
-    return bpe.token_digest(encoded, vocabulary)
+    return token_digests(spark, docs.select("doc_id", "lang", "source", "text"))
 
 
 STAGES = [
