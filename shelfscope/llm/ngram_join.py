@@ -9,11 +9,13 @@ their union. The join never forms pairs it could do without:
    fewer with all others than that is out.
 3. The whole sets of the classes left are counted. A shingle that no other class has
    uses up one of the few differences a class may have.
-4. The shared shingles are ordered from rare to frequent, and the shortest prefix is
-   taken whose shingles cannot all fail: rare ones are indexed singly, frequent ones in
-   combinations of two, very frequent ones of three. Hashed groups keep the number of
+4. Shingles that the same sets have, as those of one passage, become one token of so much
+   weight. The tokens are ordered from rare to frequent, and the shortest prefix is taken
+   whose tokens cannot all fail: rare ones and passages are indexed singly, frequent ones
+   in combinations of two, very frequent ones of three. Hashed groups keep the number of
    combinations in proportion to the prefix.
-5. Classes that share an index key are candidates. Keys first compare all members with
+5. Classes that share an index key are candidates, as far as what lies ahead of the key and
+   behind it in both sets lets them share enough. Keys first compare all members with
    one hub; what that connects needs no further pairs. Only keys whose members are
    still apart go on to more hubs, at last to all pairs. Every candidate is verified on
    its whole set.
@@ -21,6 +23,7 @@ their union. The join never forms pairs it could do without:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -41,6 +44,8 @@ PERCENT = 80
 EXTENSION = 20
 #: Classes of shingles by the number of sets that have them, and how many are combined.
 FREQUENT, VERY_FREQUENT = 16, 256
+#: Sizes of the smaller set of a pair fall into buckets by powers of this.
+STEP = 1.12
 #: Shingles per group that are combined.
 GROUP = 6
 #: Sets smaller than this are indexed by single shingles only.
@@ -117,58 +122,97 @@ def _level(frequency: np.ndarray) -> np.ndarray:
     return 1 + (frequency > FREQUENT) + (frequency > VERY_FREQUENT)
 
 
-def index_keys(shingles: np.ndarray, frequency: np.ndarray, n: int, bucket: int) -> np.ndarray:
-    """The keys of a set for pairs whose smaller size lies in ``bucket``.
+def _bucket(n: int) -> int:
+    """The sizes from ``STEP`` to this power on to the next one's."""
+    return int(np.floor(np.log(n) / np.log(STEP) + 1e-9))
 
-    ``shingles`` are those shared with other sets, rare ones first. At most
-    n - overlap - (n - shared) of them can be missing in a similar set. The prefix ends
-    where that many could be missing and still one single, or one whole combination of a
-    group, would be left.
+
+def index_keys(tokens: np.ndarray, weights: np.ndarray, frequency: np.ndarray, n: int, bucket: int) -> tuple[np.ndarray, ...]:
+    """The keys of a set for pairs whose smaller size lies in ``bucket``, and what each says of the overlap.
+
+    ``tokens`` stand for the shingles shared with other sets, ``weights`` of them each, rare
+    ones first. In a similar set, tokens of no more weight can be missing than this one's
+    shared shingles exceed the overlap. The prefix ends where so much could be missing and
+    still one single, or one whole combination of a group, would be left: to break all
+    combinations of k, all but the k - 1 heaviest tokens of the group would have to go. A set
+    whose tokens are too few for that is indexed by all of them: of two similar sets either
+    one's prefix ends, and the other has the same combinations, or both have all tokens.
+
+    With each key go the weights ``ahead`` and ``rest``. If a single is the first one that two
+    sets share, then of what comes before it only combined tokens can be common: the overlap
+    is at most the lesser ``ahead`` plus the lesser ``rest``. Similar sets pass that test at
+    their first common single, so a pair that fails it at a key need not be met there. For
+    other keys ``rest`` is all.
     """
-    missing = n - int(required_overlap(n)) - (n - len(shingles))
+    size = STEP**bucket
+    # Both sets of such a pair have at least the bucket's least size.
+    least = math.ceil(size * (1 - 1e-9))
+    overlap = max(int(required_overlap(n)), -(-PERCENT * (n + least) // (100 + PERCENT)))
+    shared = int(weights.sum())
+    missing = shared - overlap
+    nothing = np.empty(0, dtype=np.int64)
     if missing < 0:
-        return np.empty(0, dtype=np.uint64)
-    size = 1.25**bucket
-    levels = _level(frequency) if size >= SMALL else np.ones(len(shingles), dtype=np.int64)
+        return nothing.view(np.uint64), nothing, nothing, nothing.astype(bool)
+    # A token of several shingles is a passage: what it is combined with would be no rarer.
+    levels = np.where(weights > 1, 1, _level(frequency)) if size >= SMALL else np.ones(len(tokens), dtype=np.int64)
     groups = max(1, round(size * (100 - PERCENT) / 100 / (GROUP - 1)))
-    group = (mix(shingles) % np.uint64(groups)).astype(np.int64)
+    group = (mix(tokens) % np.uint64(groups)).astype(np.int64)
     members: dict[tuple[int, int], list[int]] = {}
-    sure, salt = 0, np.uint64(bucket + 1)
-    singles: list[int] = []
-    for value, level, number in zip(shingles.tolist(), levels.tolist(), group.tolist(), strict=True):
+    heavy: dict[tuple[int, int], list[int]] = {}
+    sure, ahead, rest, salt = 0, 0, shared, np.uint64(bucket + 1)
+    singles: list[tuple[int, int, int]] = []
+    for value, weight, level, number in zip(tokens.tolist(), weights.tolist(), levels.tolist(), group.tolist(), strict=True):
         if sure > missing:
             break
         if level == 1:
-            singles.append(value)
-            sure += 1
+            singles.append((value, ahead, rest))
+            sure += weight
         else:
-            own = members.setdefault((level, number), [])
-            own.append(value)
-            sure += len(own) >= level
-    keys = [mix(np.array(singles, dtype=np.uint64) + mix(np.array([salt]))[0])]
+            members.setdefault((level, number), []).append(value)
+            most = heavy.setdefault((level, number), [])
+            most.append(weight)
+            if len(most) == level:
+                sure += most.pop(most.index(min(most)))
+            ahead += weight
+        rest -= weight
+    own_salt = mix(np.array([salt]))[0]
+    parts = [mix(np.array([t for t, _, _ in singles], dtype=np.uint64) + own_salt)]
     for (level, _), own in members.items():
         chosen = np.array(list(combinations(sorted(own), level)), dtype=np.uint64).reshape(-1, level)
         code = mix(np.array([salt + np.uint64(level << 32)]))[0]
         total = np.full(len(chosen), code)
         for k in range(level):
             total = mix(total + chosen[:, k])
-        keys.append(total)
-    return np.unique(np.concatenate(keys))
+        parts.append(total)
+    if sure <= missing:
+        parts.append(mix(np.array([t for own in members.values() for t in own], dtype=np.uint64) + own_salt))
+    keys = np.concatenate(parts)
+    before, after = np.zeros(len(keys), dtype=np.int64), np.full(len(keys), shared, dtype=np.int64)
+    before[: len(singles)], after[: len(singles)] = [a for _, a, _ in singles], [r for _, _, r in singles]
+    return keys, before, after, np.arange(len(keys)) < len(singles)
+
+
+_KEYS = "key long, class long, n long, shared long, ahead long, rest long, single boolean"
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, class, n, shared) from rows (class, n, entries of frequency and shingle)."""
+    """Rows of ``_KEYS`` from rows (class, n, entries of frequency, shingle and token)."""
     for batch in batches:
         entries = batch.column("entries")
         offsets = np.asarray(entries.offsets)
         values = entries.values
         frequency = np.asarray(values.field("frequency"))
-        shingles = np.asarray(values.field("shingle")).view(np.uint64)
+        every = np.asarray(values.field("token")).view(np.uint64)
         classes, sizes = np.asarray(batch.column("class")), np.asarray(batch.column("n"))
         for i in range(batch.num_rows):
             at, n = slice(offsets[i], offsets[i + 1]), int(sizes[i])
-            bucket = int(np.floor(np.log(n) / np.log(1.25) + 1e-9))
-            keys = np.unique(np.concatenate([index_keys(shingles[at], frequency[at], n, b) for b in (bucket - 1, bucket)]))
+            # The smaller set of a pair may have as few as the overlap that this one requires.
+            buckets = range(_bucket(int(required_overlap(n))), _bucket(n) + 1)
+            tokens, first, weights = np.unique(every[at], return_index=True, return_counts=True)
+            often = frequency[at][first]
+            order = np.lexsort((tokens, often))
+            of_set = tokens[order], weights[order], often[order]
+            keys, ahead, rest, single = map(np.concatenate, zip(*(index_keys(*of_set, n, b) for b in buckets), strict=True))
             if len(keys):
                 count = len(keys)
                 yield pa.RecordBatch.from_arrays(
@@ -177,14 +221,30 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(np.full(count, classes[i])),
                         pa.array(np.full(count, n)),
                         pa.array(np.full(count, offsets[i + 1] - offsets[i], dtype=np.int64)),
+                        pa.array(ahead),
+                        pa.array(rest),
+                        pa.array(single),
                     ],
-                    ["key", "class", "n", "shared"],
+                    [field.split()[0] for field in _KEYS.split(", ")],
                 )
 
 
-def _can_link(n1: str, shared1: str, n2: str, shared2: str) -> Column:
-    most = F.least(shared1, shared2)
-    return 100 * most >= PERCENT * (F.col(n1) + F.col(n2) - most)
+#: What is known of a key's member.
+_MEMBER = ("class", "n", "shared", "ahead", "rest")
+#: Two lists of distinct classes that agree in these, and in length, are the same for all purposes.
+_SAME_MEMBERS = ("low", "high", "mark", "check")
+
+
+def _members() -> list[Column]:
+    """A list of classes as its ends and two independent exclusive-ors, added up inside map tasks."""
+    marks = F.bit_xor(F.xxhash64("class")).alias("mark"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("check")
+    return [F.min("class").alias("low"), F.max("class").alias("high"), *marks]
+
+
+def _can_link() -> Column:
+    """Whether a set and a hub that meet at a key can share enough."""
+    most = F.least("shared", "l_shared", F.least("ahead", "l_ahead") + F.least("rest", "l_rest"))
+    return 100 * most >= PERCENT * (F.col("n") + F.col("l_n") - most)
 
 
 @dataclass(frozen=True)
@@ -210,19 +270,23 @@ def _surviving(digests: DataFrame, space: Workspace) -> tuple[DataFrame, int]:
 def _indexed(whole: DataFrame, space: Workspace) -> _Sets:
     """Count all shingles of the surviving classes, drop those that cannot link, index the rest."""
     rows = whole.select("class", "n", F.explode("shingles").alias("shingle")).repartition("shingle")
-    frequency = rows.groupBy("shingle").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("frequency")
-    )
-    shared = rows.join(frequency.filter("low != high").select("shingle", "frequency"), "shingle")
-    entry = F.struct(F.col("frequency"), F.col("shingle"))
+    # Shingles that the same sets have, as those of one passage, are one token of so much weight.
+    token = F.xxhash64("frequency", *_SAME_MEMBERS).alias("token")
+    frequency = rows.groupBy("shingle").agg(*_members(), F.count(F.lit(1)).alias("frequency"))
+    shared = rows.join(frequency.filter("low != high").select("shingle", "frequency", token), "shingle")
+    entry = F.struct("frequency", "shingle", "token")
     grouped = shared.groupBy("class").agg(F.max("n").alias("n"), F.sort_array(F.collect_set(entry)).alias("entries"))
     fits = grouped.filter(F.size("entries") >= F.floor((PERCENT * F.col("n") + 99) / 100))
     sets = space.stage(fits, "sets").frame
-    keys = sets.mapInArrow(_index, "key long, class long, n long, shared long")
+    keys = sets.mapInArrow(_index, _KEYS)
     listed = space.stage(keys, "keys").frame
-    several = listed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high")
+    # Combinations with the same members say the same, so one of them is kept; each single says its own.
+    several = listed.groupBy("key").agg(
+        *_members(), F.count(F.lit(1)).alias("n_sets"), F.max(F.when(F.col("single"), F.col("key"))).alias("of_its_own")
+    )
+    different = several.filter("low != high").groupBy("n_sets", "of_its_own", *_SAME_MEMBERS).agg(F.min("key").alias("key"))
     # The members of a hot key come from a staged table, so the join can be split.
-    keyed = space.stage(several.select("key"), "several").frame
+    keyed = space.stage(different.select("key"), "several").frame
     return _Sets(sets, space.stage(listed.join(keyed, "key", "left_semi"), "candidates").frame)
 
 
@@ -243,20 +307,19 @@ def _links(indexed: _Sets, space: Workspace) -> DataFrame | None:
         if hubs is not None:
             # One hub for each group that is still apart, those with the fewest shingles of their own
             # first: a text that many others were copied from has none.
-            central = F.struct(
-                ((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), F.col("class"), F.col("n"), F.col("shared")
-            )
+            central = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), *_MEMBER)
             best = open_.groupBy("key", "group").agg(F.min(central).alias("best"))
             order = Window.partitionBy("key").orderBy("best")
             left = best.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs)
-            left = left.select("key", "group", "best.class", "best.n", "best.shared")
-        left = space.stage(left.select("key", *(F.col(c).alias(f"l_{c}") for c in ("class", "n", "shared", "group"))), "hubs").frame
-        pairs = open_.join(left, "key").filter((F.col("group") != F.col("l_group")) & _can_link("n", "shared", "l_n", "l_shared"))
+            left = left.select("key", "group", *(f"best.{c}" for c in _MEMBER))
+        left = space.stage(left.select("key", *(F.col(c).alias(f"l_{c}") for c in (*_MEMBER, "group"))), "hubs").frame
+        pairs = open_.join(left, "key").filter((F.col("group") != F.col("l_group")) & _can_link())
         # In each pair the hub stays on its side: its set is what the other's is sent to.
         smaller, larger = F.least("class", "l_class"), F.greatest("class", "l_class")
         pairs = pairs.select(smaller.alias("a"), larger.alias("b")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            # Written first: Spark would look up every meeting of a pair before it drops the repeated ones.
+            pairs = space.stage(pairs, "met").frame.join(tested, ["a", "b"], "left_anti")
         wanted = space.stage(pairs, "pairs")
         if wanted.rows:
             one = lists.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
@@ -270,7 +333,7 @@ def _links(indexed: _Sets, space: Workspace) -> DataFrame | None:
                 links = found.frame if links is None else links.unionByName(found.frame)
                 groups = connected_components(links, space)
                 named = open_.drop("group").join(groups, open_["class"] == groups["node"], "left")
-                members = named.select("key", "class", "n", "shared", F.coalesce("component", "class").alias("group"))
+                members = named.select("key", *_MEMBER, F.coalesce("component", "class").alias("group"))
                 continue
         members = open_
     return links
