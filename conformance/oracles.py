@@ -9,7 +9,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from .fixtures import AS_OF, FIXTURES
-from .queries import DAY_1, DAY_2
+from .queries import COMMITS, DAY_1, DAY_2
 
 
 class Shape(NamedTuple):
@@ -313,6 +313,15 @@ def _merge_oracles() -> dict[str, str]:
         seen = f"(SELECT * FROM log WHERE commit_time <= '{instant}')"
         newest = _first_per_key(seen, columns, ("seller_id", "item_id"), "commit_time DESC")
         versions.append(f"SELECT *, '{instant}' AS instant FROM ({newest})")
+    split_log = (
+        f"SELECT *, '{COMMITS[0]}' AS commit_time FROM fx_catalog_day1 UNION ALL "
+        f"SELECT *, CASE WHEN seller_id < 'S5' THEN '{COMMITS[1]}' ELSE '{COMMITS[2]}' END FROM fx_catalog_day2"
+    )
+    logged = []
+    for instant in COMMITS:
+        seen = f"(SELECT * FROM log WHERE commit_time <= '{instant}')"
+        newest = _first_per_key(seen, columns, ("seller_id", "item_id"), "commit_time DESC")
+        logged.append(f"SELECT *, '{instant}' AS instant FROM ({newest})")
     summary = _with(
         "SELECT COUNT(*) FILTER (WHERE b.item_id IS NULL) AS inserts, "
         "COUNT(*) FILTER (WHERE b.item_id IS NOT NULL AND d.item_id IS NOT NULL) AS updates, "
@@ -343,6 +352,7 @@ def _merge_oracles() -> dict[str, str]:
         "merge_summary": summary,
         "upsert_summary": summary,
         "table_as_of": _with(" UNION ALL ".join(versions), log=log),
+        "commit_log_as_of": _with(" UNION ALL ".join(logged), log=split_log),
         "commit_timeline": _with(
             "SELECT commit_time, COUNT(*) AS rows_written FROM log GROUP BY commit_time", log=log
         ),

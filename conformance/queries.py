@@ -28,6 +28,7 @@ RAW = {
 }
 DAY_1 = "20010101000000000"
 DAY_2 = "20010102000000000"
+COMMITS = ("20010101000000000", "20010102000000000", "20010103000000000")
 CATALOG_KEYS = ["seller_id", "item_id"]
 
 _REGISTRY: dict[str, Query] = {}
@@ -380,6 +381,17 @@ def table_as_of(spark, sf_dir):
     return reduce(DataFrame.unionByName, versions)
 
 
+@query("commit_log_as_of")
+def commit_log_as_of(spark, sf_dir):
+    """Three commits and a snapshot after the second: the table before, at and after it."""
+    first, second = _days(spark, sf_dir)
+    log = plans.CommitLog(spark, fresh_path(spark, "log"), CATALOG_KEYS, first.schema, every=2)
+    early = F.col("seller_id") < "S5"
+    for instant, rows in zip(COMMITS, (first, second.filter(early), second.filter(~early)), strict=True):
+        log.append(rows, instant)
+    return reduce(DataFrame.unionByName, [log.as_of(c).withColumn("instant", F.lit(c)) for c in COMMITS])
+
+
 @query("commit_timeline")
 def commit_timeline(spark, sf_dir):
     return ops.commit_timeline(_commit_log(spark, sf_dir))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_avg, exact_sum, guarded_ratio
 from .ranking import first_per_group
+from .skew import left_join_skewed
 
 ITEM_COLUMNS = ("item_id", "category", "item_name")
 #: So many rows of an overall list are picked task by task and merged in one; more are ranked in ranges.
@@ -40,8 +41,8 @@ def catalog_seller_counts(seller_catalog: DataFrame) -> DataFrame:
 
 
 def sales_with_category(company_sales: DataFrame, seller_catalog: DataFrame) -> DataFrame:
-    """Every sale with every catalog variant of its item, or with NULLs."""
-    return company_sales.join(catalog_variants(seller_catalog), "item_id", "left")
+    """Every sale with every catalog variant of its item, or with NULLs; best sellers' sales are not shuffled."""
+    return left_join_skewed(company_sales, catalog_variants(seller_catalog), "item_id")
 
 
 def company_item_totals(company_sales: DataFrame) -> DataFrame:

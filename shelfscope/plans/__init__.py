@@ -1,6 +1,7 @@
 """Whole jobs composed from the operators."""
 
 from .buckets import BUCKET_SUMMARY, BucketedTable
+from .commits import CommitLog
 from .etl import EtlRun, run_datasets, run_etl, run_etl_from_csv, trusted_rows
 from .incremental import upsert_snapshot
 from .landing import LandingRun, run_landing
@@ -18,6 +19,7 @@ from .recommendations import (
 __all__ = [
     "BUCKET_SUMMARY",
     "BucketedTable",
+    "CommitLog",
     "EtlRun",
     "LandingRun",
     "RecommendationRun",

@@ -29,9 +29,10 @@ from pyspark.sql import types as T
 
 from ..operators.dedup import keyed_snapshot
 from ..operators.merge import replace_keys
-from ..sinks import write_commit, write_table
+from ..sinks import write_table
 from ..specs import DatasetSpec
 from ..staging import drop_path, path_exists, stage
+from .commits import CommitLog
 
 BUCKET = "_bucket"
 BUCKET_SUMMARY = "inserts bigint, updates bigint, total_rows bigint, touched_buckets int, buckets int"
@@ -90,7 +91,7 @@ class BucketedTable:
 
         ``incoming`` holds trusted rows of one batch, several per key or none. NULL equals NULL
         in a key. New columns are added to the table. The same batch again changes no row.
-        With ``log_path`` the batch's rows also become the commit ``instant`` of a commit log,
+        With ``log_path`` the batch's rows also become the commit ``instant`` of a ``CommitLog``,
         which is written first: what the table shows, the log has.
         """
         self._finish()
@@ -99,7 +100,7 @@ class BucketedTable:
         touched = self._buckets_of(batch.frame)
         layout = self._with_columns(layout, batch.frame.drop(BUCKET).schema)
         if log_path is not None:
-            write_commit(batch.frame.drop(BUCKET), log_path, instant)
+            CommitLog(self.spark, log_path, self.spec.keys, layout.columns).append(batch.frame.drop(BUCKET), instant)
         inserts = 0
         if touched:
             base = self._scan(self.path, layout).filter(F.col(BUCKET).isin(*touched))

@@ -115,9 +115,16 @@ def company_gap(
     seller_catalog: DataFrame,
     rounding: Rounding = round_half_up,
 ) -> DataFrame:
-    """Top competitor items that no seller of the catalog stocks."""
-    stocked = items.distinct_catalog_items(seller_catalog)
-    return top_competitor_items.join(stocked, "item_id", "left_anti").select(
+    """Top competitor items that no seller of the catalog stocks.
+
+    The list is written and counted first; the catalog is then only looked through for its
+    items, and what it has of them is all that is shuffled.
+    """
+    listed = stage(top_competitor_items, "gap-list")
+    wanted = listed.frame.select(F.col("item_id").alias("wanted_id")).distinct()
+    wanted = F.broadcast(wanted) if listed.rows <= pairs.PART_ROWS else wanted
+    stocked = seller_catalog.join(wanted, F.col("item_id") == F.col("wanted_id"), "left_semi").select("item_id").distinct()
+    return listed.frame.join(stocked, "item_id", "left_anti").select(
         "item_id",
         "item_name",
         "category",

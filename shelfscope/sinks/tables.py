@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import keyed_snapshot
 from ..operators.merge import COMMIT_COLUMN
 from ..specs import DatasetSpec
+from ..staging import stage
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), constant: Collection[str] = ()) -> int:
@@ -40,13 +41,18 @@ def write_snapshot(df: DataFrame, spec: DatasetSpec, path: str) -> int:
 def write_quarantine(invalid: DataFrame, path: str, rows: int | None = None) -> bool:
     """Overwrite the quarantine, unless there is nothing to quarantine.
 
-    With no bad rows the previous run's files stay. Pass ``rows`` when the count
-    is known to save looking for a first row.
+    With no bad rows the previous run's files stay. Unless their number is known, the bad
+    rows are written and counted in the shared folder first, so the input is run once.
     """
-    empty = invalid.isEmpty() if rows is None else rows == 0
-    if not empty:
-        invalid.write.mode("overwrite").parquet(path)
-    return not empty
+    if rows is not None:
+        if rows:
+            invalid.write.mode("overwrite").parquet(path)
+        return rows > 0
+    found = stage(invalid, "quarantine")
+    if found.rows:
+        found.frame.write.mode("overwrite").parquet(path)
+    found.drop()
+    return found.rows > 0
 
 
 def write_commit(df: DataFrame, path: str, instant: str) -> None:

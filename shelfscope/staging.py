@@ -47,6 +47,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    system, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a staged table; one that is gone already is no error."""
     system, target = _file_system(spark, path)

@@ -1,5 +1,7 @@
 """Incremental merges and the commit log on small tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +215,26 @@ def test_bucketed_table_takes_new_columns_and_feeds_the_log(spark, tmp_path):
     assert [tuple(c) for c in commits] == [("20250101000000000", 1), ("20250102000000000", 1)]
     with pytest.raises(ValueError, match="origin"):
         table.upsert(_catalog(spark, [("S1", "I1")], 3.0).withColumn("origin", F.lit(1)))
+
+
+def test_commit_log_reads_snapshots_and_later_commits_only(spark, tmp_path):
+    schema = _table(spark, [], 1.0).schema
+    log = plans.CommitLog(spark, str(tmp_path / "log"), KEYS, schema, every=3)
+    assert log.as_of("9").count() == 0
+    whole = plans.CommitLog(spark, str(tmp_path / "whole"), KEYS, schema, every=1000)
+    for i in range(7):
+        rows = _table(spark, [i, i + 1, 20], float(i))
+        log.append(rows, f"{i:03d}")
+        whole.append(rows, f"{i:03d}")
+    assert log.snapshots() == ["002", "005"] and whole.snapshots() == []
+    for i in range(7):
+        assert _rows(log.as_of(f"{i:03d}")) == _rows(whole.as_of(f"{i:03d}"))
+    plan = log.as_of("006")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*\(commit_time#\d+ > 005\)", plan)
+    assert any("_snapshots/005" in f for f in log.as_of("006").inputFiles())
+    assert [tuple(r) for r in log.timeline().collect()] == [(f"{i:03d}", 3) for i in range(7)]
+    # A commit that is written again replaces itself, also in what later snapshots said.
+    for each in (log, whole):
+        each.append(_table(spark, [20], 99.0), "004")
+    assert log.snapshots() == ["002"]
+    assert _rows(log.as_of("005")) == _rows(whole.as_of("005")) and _rows(log.as_of("004")) == _rows(whole.as_of("004"))

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from conformance.fixtures import fixture
 from shelfscope import operators as ops
 from shelfscope import plans, sinks
-from shelfscope.operators import pairs, ranking
+from shelfscope.operators import pairs, ranking, skew
 from shelfscope.staging import stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -255,6 +255,37 @@ def test_long_top_lists_agree_with_short_ones(spark):
     assert _rows(ops.items.shortlist(*inputs, top_n=1001)) == _rows(ops.items.shortlist(*inputs, top_n=1000))
 
 
+def test_hot_items_are_not_shuffled(spark):
+    """An item with a third of all sales, and another third without an item; adaptive execution is off."""
+    sales = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("I"), F.col("id") % 2000)).alias("item_id"),
+        F.col("id").alias("units_sold"),
+    )
+    catalog = spark.createDataFrame(
+        [(f"I{i}", "c", "n") for i in range(0, 2000, 2)] + [("hot", "c", "n"), ("hot", "c", "n2"), (None, "c", "n")],
+        "item_id string, category string, item_name string",
+    )
+    assert skew.heavy_values(sales, "item_id") == ["hot"]
+    want = sales.join(catalog, "item_id", "left")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = ops.sales_with_category(sales, catalog)
+        sizes = [r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        moved = found.filter("item_id != 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert _rows(found.select(*want.columns)) == _rows(want)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert max(sizes) < 5 * sorted(sizes)[len(sizes) // 2] and len(moved) >= 8
+    plain = sales.filter("item_id != 'hot'")
+    assert skew.heavy_values(plain, "item_id") == []
+    assert _rows(ops.sales_with_category(plain, catalog)) == _rows(plain.join(catalog, "item_id", "left"))
+    assert ops.sales_with_category(sales.limit(0), catalog).count() == 0
+
+
 def test_keyed_dedup_prunes_before_the_shuffle(spark):
     catalog = fixture(spark, SF_DIR, "fx_catalog")
     plan = _plan(ops.best_price_per_key(catalog))
