@@ -121,11 +121,36 @@ BASE_KINDS = (
     ),
 )
 
+# The length of an international account number by its country.
+IBAN_LENGTHS = """
+AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29
+ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20
+LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25
+QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20
+"""
+
+
+def _iban_forms() -> str:
+    """An alternative for each length: its countries, two digits, and the rest in groups of four.
+
+    The length ends the span, so a word or number that follows is not taken along.
+    """
+    countries: dict[int, list[str]] = {}
+    for entry in IBAN_LENGTHS.split():
+        countries.setdefault(int(entry[2:]), []).append(entry[:2])
+    forms = []
+    for length, codes in sorted(countries.items()):
+        groups, rest = divmod(length - 4, 4)
+        tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(rf"(?:{'|'.join(codes)})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    return "|".join(forms)
+
+
 #: Kinds that the checksums and the context words add.
 ADDED_KINDS = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?:{_iban_forms()})(?![A-Za-z0-9])",
         lambda text: F.rlike(text, F.lit(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}")),
         lambda match: _between(F.length(_digits(match, " ")), 15, 34) & passes_mod97(_digits(match, " ")),
         score=0.2,

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +190,73 @@ def test_redaction_replaces_spans_and_nothing_else(spark):
     texts = ["🙂 a@b.co and 10.0.0.1!", "call 4111111111111111 now", "clean", "", None]
     redacted = pii.redact(pii.find_pii(frame(spark, [(i, t, "a") for i, t in enumerate(texts)]))).orderBy("doc_id")
     assert [r.text for r in redacted.collect()] == ["🙂 [EMAIL] and [IP]!", "call [CARD] now", "clean", "", None]
+
+
+def test_account_numbers_end_where_their_country_says(spark):
+    texts = [
+        "BE68539007547034 BIC",
+        "to BE68 5390 0754 7034 EUR 500",
+        "ES91 2100 0418 4502 0005 1332 12 May",
+        "GB82WEST12345698765432.",
+        "BE68 5390 0754 7035 wrong sum",
+        "ZZ68 5390 0754 7034 no such country",
+    ]
+    found = pii.find_pii(frame(spark, [(i, t, "a") for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    spans = [[texts[i][s.start : s.end] for s in r.pii if s.kind == "iban"] for i, r in enumerate(found)]
+    want = ["BE68539007547034", "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "GB82WEST12345698765432"]
+    assert spans == [*([w] for w in want), [], []]
+
+
+def _token_sets(rng, count):
+    """Sets of numbers made of shared passages, near copies, and numbers of their own."""
+    passages = [rng.sample(range(10**6), rng.randrange(2, 60)) for _ in range(6)]
+    sets = []
+    for _ in range(count):
+        if sets and rng.random() < 0.5:
+            base = set(rng.choice(sets))
+            for x in rng.sample(sorted(base), min(len(base) - 1, rng.randrange(0, 1 + len(base) // 8))):
+                base.discard(x)
+            base |= {rng.randrange(10**6) for _ in range(rng.randrange(0, 1 + len(base) // 10))}
+        else:
+            base = {x for p in rng.sample(passages, rng.randrange(0, 4)) for x in p}
+            base |= {rng.randrange(3000) for _ in range(rng.randrange(1, 60))}
+        sets.append(frozenset(base))
+    return list(set(sets))
+
+
+@pytest.mark.parametrize(("seed", "limits"), [(1, (16, 256)), (2, (1, 3)), (3, (0, 0)), (4, (2, 8))])
+def test_similar_sets_meet_at_a_key_that_lets_them(monkeypatch, seed, limits):
+    monkeypatch.setattr(ngram_join, "FREQUENT", limits[0])
+    monkeypatch.setattr(ngram_join, "VERY_FREQUENT", limits[1])
+    sets = _token_sets(random.Random(seed), 220)
+    holders = {}
+    for i, members in enumerate(sets):
+        for x in members:
+            holders.setdefault(x, []).append(i)
+    names = {}
+    token = {x: names.setdefault(tuple(h), len(names) + 1) for x, h in holders.items() if len(h) > 1}
+    often = {names[tuple(h)]: len(h) for h in holders.values() if len(h) > 1}
+    indexed = []
+    for members in sets:
+        n = len(members)
+        weights = Counter(token[x] for x in members if x in token)
+        order = sorted(weights, key=lambda t: (often[t], t))
+        columns = [np.array(c, dtype=t) for c, t in ((order, np.uint64), ([weights[t] for t in order], int), ([often[t] for t in order], int))]
+        keys = {}
+        for bucket in range(ngram_join._bucket(int(ngram_join.required_overlap(n))), ngram_join._bucket(n) + 1):
+            found = ngram_join.index_keys(*columns, n, bucket)
+            keys |= {k: (a, r) for k, a, r in zip(*(c.tolist() for c in found[:3]), strict=True)}
+        indexed.append((n, sum(weights.values()), keys))
+    linked = 0
+    for i, (n, shared, keys) in enumerate(indexed):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if 100 * common >= 80 * (n + len(sets[j]) - common):
+                m, other, theirs = indexed[j]
+                linked += 1
+
+                def most(k):
+                    return min(shared, other, min(keys[k][0], theirs[k][0]) + min(keys[k][1], theirs[k][1]))
+
+                assert any(100 * most(k) >= 80 * (n + m - most(k)) for k in keys.keys() & theirs.keys())
+    assert linked > 100
