@@ -252,9 +252,12 @@ def _landing_oracles() -> dict[str, str]:
         "etl_swapped_header": _with("SELECT * FROM trusted", **ctes),
         "etl_swapped_quarantine": _with(f"SELECT n AS wrong_header, n - v AS other_reasons FROM (SELECT {counts})", **ctes),
         "landing_run": _with("SELECT * FROM snapshot", **ctes),
+        "landing_run_unique": _with("SELECT * FROM trusted", **ctes),
         "landing_run_summary": _with(
-            "SELECT CAST(2 AS BIGINT) AS runs, 2 * n AS rows_in, v AS rows_valid, "
-            f"(SELECT COUNT(*) FROM snapshot) AS inserts FROM (SELECT {counts})",
+            "SELECT CAST(2 AS BIGINT) AS runs, 2 * n + e AS rows_in, v + ve AS rows_valid, "
+            f"(SELECT COUNT(*) FROM snapshot) AS inserts FROM (SELECT {counts}, "
+            f"(SELECT COUNT(*) FROM fx_raw_company_sales WHERE sale_date < '1997-01-01') AS e, "
+            "(SELECT COUNT(*) FROM valid WHERE sale_date < DATE '1997-01-01') AS ve)",
             **ctes,
         ),
     }

@@ -186,7 +186,7 @@ def etl_swapped_quarantine(spark, sf_dir):
 
 
 def _landing_runs(spark, sf_dir, root: str) -> list[plans.LandingRun]:
-    """Two deliveries of sales, one with files in the wrong column order, and three runs; the last finds nothing."""
+    """Early sales, then all sales, the early ones again, with files in the wrong column order; a third run finds nothing."""
     raw = fixture(spark, sf_dir, "fx_raw_company_sales")
     early = F.coalesce(F.col("sale_date") < "1997-01-01", F.lit(False))
 
@@ -195,7 +195,7 @@ def _landing_runs(spark, sf_dir, root: str) -> list[plans.LandingRun]:
 
     _write_csv(raw.filter(early), f"{root}/landing/first")
     first = run()
-    _write_csv(raw.filter(~early), f"{root}/landing/second")
+    _write_csv(raw, f"{root}/landing/second")
     _write_csv(raw.select(*reversed(raw.columns)), f"{root}/landing/swapped")
     return [first, run(), run()]
 
@@ -207,6 +207,14 @@ def landing_run(spark, sf_dir):
     return plans.BucketedTable(spark, COMPANY_SALES, f"{root}/table").read()
 
 
+@query("landing_run_unique")
+def landing_run_unique(spark, sf_dir):
+    """Sales that came in both deliveries are there once."""
+    root = fresh_path(spark, "landing-run")
+    _landing_runs(spark, sf_dir, root)
+    return plans.UniqueRows(spark, f"{root}/unique").read(COMPANY_SALES.typed_schema)
+
+
 @query("landing_run_summary")
 def landing_run_summary(spark, sf_dir):
     root = fresh_path(spark, "landing-run")

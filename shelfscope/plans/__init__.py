@@ -15,6 +15,7 @@ from .recommendations import (
     recommendation_stats,
     validate_recommendations,
 )
+from .seen import UniqueRows
 
 __all__ = [
     "BUCKET_SUMMARY",
@@ -23,6 +24,7 @@ __all__ = [
     "EtlRun",
     "LandingRun",
     "RecommendationRun",
+    "UniqueRows",
     "company_gap",
     "generate_recommendations",
     "publish_recommendations",

@@ -11,6 +11,7 @@ from ..staging import path_exists
 from ..streaming import ingest_landing, landed_batches, read_landed
 from .buckets import BUCKET_SUMMARY, BucketedTable
 from .etl import run_etl
+from .seen import UniqueRows
 
 _DONE = "batch_id string"
 
@@ -29,9 +30,10 @@ def run_landing(
 ) -> LandingRun:
     """Land new files of ``root``/landing, check them, and upsert the good rows into the keyed table.
 
-    Layout under ``root``: landing/, archive/, bronze/, checkpoint/, quarantine/, trusted/,
-    metrics/ (landing and ETL in one record), table/ (a ``BucketedTable``) and commits/, the
-    log that ``operators.as_of`` reads. Only micro-batches that no earlier run took in are
+    Layout under ``root``: landing/, archive/, bronze/, checkpoint/, quarantine/, trusted/ (a
+    run's good rows), unique/ (the good rows of all runs, identical ones once: ``UniqueRows``),
+    metrics/ (landing and ETL in one record), table/ (a ``BucketedTable``) and commits/ (its
+    ``CommitLog``). Only micro-batches that no earlier run took in are
     read. A run that dies is repeated whole: rows land once, the upsert of the same rows
     changes nothing, the commit of the same batches replaces itself, and a batch counts as
     taken in when all of that is done. Rows of files with a wrong header, and rows that
@@ -56,6 +58,7 @@ def run_landing(
         as_of=as_of,
         metrics_path=f"{root}/metrics",
     )
+    UniqueRows(spark, f"{root}/unique").add(run.table, new[-1])
     summary = table.upsert(run.table, places["commits"], new[-1])
     done = spark.createDataFrame([(b,) for b in new], _DONE).coalesce(1)
     done.write.mode("append").json(places["taken"])

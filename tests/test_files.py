@@ -278,3 +278,20 @@ def test_landing_run_is_repeatable(spark, tmp_path, monkeypatch):
     log = sources.read_commit_log(spark, f"{root}/commits", COMPANY_SALES.typed_schema)
     before = ops.as_of(log, ["item_id"], "0000000000")
     assert sorted((r.item_id, r.units_sold) for r in before.collect()) == [("I1", 1), ("I2", 1)]
+
+
+def test_unique_rows_over_batches(spark, tmp_path):
+    unique = plans.UniqueRows(spark, str(tmp_path / "u"))
+    schema = COMPANY_SALES.typed_schema
+    assert unique.read(schema).count() == 0
+    rows = [("I1", 1, 1.0, None), ("I1", 1, 1.0, None), (None, 1, 1.0, None), ("", 1, 1.0, None), ("I2", None, 1.0, None)]
+
+    def add(chosen, batch):
+        return unique.add(spark.createDataFrame(chosen, schema), batch)
+
+    assert add(rows[:3], "0") == 2
+    assert add(rows, "1") == 2
+    for _ in range(2):  # each batch again, as after a run that died
+        assert (add(rows[:3], "0"), add(rows, "1")) == (2, 2)
+    assert sorted(map(tuple, unique.read(schema).collect()), key=repr) == sorted(set(rows), key=repr)
+    assert add([], "2") == 0
