@@ -53,7 +53,7 @@ SMALL = 16
 #: Up to so many ids are broadcast to pick rows of a large table; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Hubs per key in each round; the last compares all members.
-HUBS = (1, 8, 64, None)
+HUBS = (1, 8, None)
 
 
 def required_overlap(n: np.ndarray | int):
