@@ -144,12 +144,15 @@ def short_plan_texts(spark: SparkSession) -> Iterator[None]:
     Whatever runs inside must also end inside: the setting is as before when it is left.
     """
     name = "spark.sql.maxPlanStringLength"
-    before = spark.conf.get(name)
+    before = spark.conf.getAll.get(name)
     spark.conf.set(name, "20000")
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
