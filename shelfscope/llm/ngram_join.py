@@ -16,9 +16,11 @@ their union. The join never forms pairs it could do without:
    combinations in proportion to the prefix.
 5. Classes that share an index key are candidates, as far as what lies ahead of the key and
    behind it in both sets lets them share enough. Keys first compare all members with
-   one hub; what that connects needs no further pairs. Only keys whose members are
-   still apart go on to more hubs, at last to all pairs. Every candidate is verified on
-   its whole set.
+   one hub; what that connects needs no further pairs.
+6. Members of a key that are still apart, for example a thousand different changes of one
+   text, are indexed once more, by what tells them from the hub: what both lack or both
+   have besides counts, and such tokens are rare even where the members share most of
+   their shingles. Every candidate is verified on its whole set.
 """
 
 from __future__ import annotations
@@ -52,8 +54,6 @@ GROUP = 6
 SMALL = 16
 #: Up to so many ids are broadcast to pick rows of a large table; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Hubs per key in each round; the last compares all members.
-HUBS = (1, 8, None)
 
 
 def required_overlap(n: np.ndarray | int):
@@ -290,53 +290,120 @@ def _indexed(whole: DataFrame, space: Workspace) -> _Sets:
     return _Sets(sets, space.stage(listed.join(keyed, "key", "left_semi"), "candidates").frame)
 
 
+def _verified(pairs: DataFrame, lists: DataFrame, space: Workspace) -> tuple[DataFrame, int]:
+    """Those of the pairs (a, b) whose whole sets are similar, and their number."""
+    wanted = space.stage(pairs, "pairs")
+    one = lists.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
+    two = lists.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
+    both = wanted.frame.join(two, "b").join(one, "a")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    found = both.filter(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    found = space.stage(found, "links")
+    return found.frame, found.rows
+
+
+def _ordered(one: str, two: str) -> list[Column]:
+    return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
+
+
+def _differences(visits: DataFrame, lists: DataFrame) -> DataFrame:
+    """What tells each visitor of a hub from it: ``tokens``, and the ``need`` that they have to meet.
+
+    Of the hub's shared shingles two visitors have in common all that neither misses. So
+    their overlap is the hub's count, less what either misses, plus the differences from the
+    hub that they have in common. They are similar if twice (100 + PERCENT) times those
+    common differences is at least the sum of both needs.
+    """
+    own = lists.select("class", F.col("shingles").alias("own"))
+    hubs = lists.select(F.col("class").alias("hub"), F.col("shingles").alias("of_hub"))
+    missing = F.array_except("of_hub", "own")
+    need = 2 * PERCENT * F.col("n") + (100 + PERCENT) * (2 * F.size(missing) - F.size("of_hub"))
+    tokens = F.concat(F.array_except("own", "of_hub"), F.transform(missing, lambda t: F.bitwise_not(t)))
+    told = visits.join(own, "class").join(hubs, "hub")
+    return told.select("hub", "class", "group", "inside", need.cast("long").alias("need"), tokens.alias("tokens"))
+
+
+def _difference_pairs(open_: DataFrame, hubs: DataFrame, lists: DataFrame, space: Workspace) -> DataFrame:
+    """Pairs (a, b) of different groups that may be similar, among those that share a key with a hub.
+
+    Visitors of a hub are indexed by their differences from it, rare ones first: a pair whose
+    needs add up to more than what is left behind either prefix shares a token of both. Those
+    in the hub's group and those outside have prefixes of their own for each side, as the
+    least need on the other side decides the length. Where needs add up to no more
+    than zero the pair is similar, and then so is either with the one of least need.
+    """
+    home = hubs.select("key", F.col("l_class").alias("hub"))
+    groups = open_.select(F.col("class").alias("hub"), F.col("group").alias("home")).distinct()
+    met = open_.join(home, "key").filter("class != hub").select("hub", "class", "n", "group").distinct()
+    visits = met.join(groups, "hub").withColumn("inside", F.col("group") == F.col("home"))
+    told = space.stage(_differences(visits, lists), "differences").frame
+    least = F.struct("need", "class")
+    mins = told.groupBy("hub").agg(
+        F.min(F.when(F.col("inside"), least)).alias("least_inside"),
+        F.min(F.when(~F.col("inside"), least)).alias("least_outside"),
+    )
+    mins = space.stage(mins.filter("least_outside is not null"), "least").frame
+    # Inside is compared with outside (side 1), outside also with itself (side 0).
+    facing = F.when(F.col("inside"), F.col("least_outside")).otherwise(F.col("least_inside"))
+    outside = F.struct(F.lit(0).alias("side"), F.col("least_outside").alias("least"))
+    across = F.struct(F.lit(1).alias("side"), facing.alias("least"))
+    sides = F.when(F.col("inside"), F.array(across)).otherwise(F.array(outside, across))
+    visitor = ("hub", "class", "group", "inside", "need")
+
+    needed = told.join(mins.select("hub"), "hub", "left_semi")
+    rows = needed.select(*visitor, F.explode("tokens").alias("shingle"))
+    frequency = rows.groupBy("hub", "shingle").agg(*_members(), F.count(F.lit(1)).alias("frequency")).filter("low != high")
+    token = F.xxhash64("frequency", *_SAME_MEMBERS).alias("token")
+    shared = rows.join(frequency.select("hub", "shingle", "frequency", token), ["hub", "shingle"])
+    grouped = shared.groupBy(*visitor).agg(F.sort_array(F.collect_list(F.struct("frequency", "token"))).alias("entries"))
+    sided = grouped.join(mins, "hub").withColumn("of", F.explode(sides)).filter("of.least is not null")
+    spare = F.greatest(F.lit(0), F.floor((F.col("need") + F.col("of.least.need") - 1) / (2 * (100 + PERCENT))))
+    places = F.transform("entries", lambda e, i: F.struct(e["token"].alias("token"), i.alias("place")))
+    # Tokens that the same visitors have stand together; the first of them is the key.
+    first = F.filter(
+        places,
+        lambda e: (e["place"] < F.size("entries") - spare)
+        & ((e["place"] == 0) | (F.get("entries", e["place"] - 1)["token"] != e["token"])),
+    )
+    at = sided.select(*visitor, "of.side", F.size("entries").alias("size"), F.explode(first).alias("at"))
+    key, rest = F.xxhash64("hub", "side", "at.token").alias("key"), (F.col("size") - F.col("at.place")).alias("rest")
+    keyed = space.stage(at.select(key, "class", "group", "inside", "need", "side", rest), "told").frame
+    apart = keyed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low != high")
+    keyed = space.stage(keyed.join(apart.select("key"), "key", "left_semi"), "told-apart").frame
+    other = keyed.select("key", *(F.col(c).alias(f"l_{c}") for c in ("class", "group", "inside", "need", "rest")))
+    fits = 2 * (100 + PERCENT) * F.least("rest", "l_rest") >= F.col("need") + F.col("l_need")
+    across_sides = (F.col("side") == 0) | (F.col("inside") != F.col("l_inside"))
+    differ = (F.col("class") < F.col("l_class")) & (F.col("group") != F.col("l_group"))
+    close = keyed.join(other, "key").filter(differ & fits & across_sides).select(*_ordered("class", "l_class"))
+    certain = needed.join(mins, "hub").withColumn("of", F.explode(sides))
+    certain = certain.filter((F.col("need") + F.col("of.least.need") <= 0) & (F.col("class") != F.col("of.least.class")))
+    return close.unionByName(certain.select(*_ordered("class", "of.least.class"))).distinct()
+
+
 def _links(indexed: _Sets, space: Workspace) -> DataFrame | None:
     """Verified links (a, b) between classes, enough to connect all that are similar."""
     lists = indexed.sets.select("class", "n", F.transform("entries", lambda e: e["shingle"]).alias("shingles"))
     lists = space.stage(lists, "lists").frame
-    links: DataFrame | None = None
-    tested: DataFrame | None = None
-    members = indexed.keys.withColumn("group", F.col("class"))
-    for hubs in HUBS:
-        apart = members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low != high")
-        apart = space.stage(apart.select("key"), "apart")
-        if not apart.rows:
-            break
+    # The hub of a key is the set with the fewest shingles of its own: a text that many
+    # others were copied from has none.
+    central = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), *_MEMBER)
+    best = indexed.keys.groupBy("key").agg(F.min(central).alias("best"))
+    hubs = space.stage(best.select("key", *(F.col(f"best.{c}").alias(f"l_{c}") for c in _MEMBER)), "hubs").frame
+    met = indexed.keys.join(hubs, "key").filter((F.col("class") != F.col("l_class")) & _can_link())
+    links, found = _verified(met.select(*_ordered("class", "l_class")).distinct(), lists, space)
+    members = indexed.keys.select("key", "class", "n", F.col("class").alias("group"))
+    if found:
+        groups = connected_components(links, space)
+        named = members.drop("group").join(groups, members["class"] == groups["node"], "left")
+        members = space.stage(named.select("key", "class", "n", F.coalesce("component", "class").alias("group")), "members").frame
+    apart = members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low != high")
+    apart = space.stage(apart.select("key"), "apart")
+    if apart.rows:
         open_ = space.stage(members.join(apart.frame, "key", "left_semi"), "open").frame
-        left = open_
-        if hubs is not None:
-            # One hub for each group that is still apart, those with the fewest shingles of their own
-            # first: a text that many others were copied from has none.
-            central = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), *_MEMBER)
-            best = open_.groupBy("key", "group").agg(F.min(central).alias("best"))
-            order = Window.partitionBy("key").orderBy("best")
-            left = best.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs)
-            left = left.select("key", "group", *(f"best.{c}" for c in _MEMBER))
-        left = space.stage(left.select("key", *(F.col(c).alias(f"l_{c}") for c in (*_MEMBER, "group"))), "hubs").frame
-        pairs = open_.join(left, "key").filter((F.col("group") != F.col("l_group")) & _can_link())
-        # In each pair the hub stays on its side: its set is what the other's is sent to.
-        smaller, larger = F.least("class", "l_class"), F.greatest("class", "l_class")
-        pairs = pairs.select(smaller.alias("a"), larger.alias("b")).distinct()
-        if tested is not None:
-            # Written first: Spark would look up every meeting of a pair before it drops the repeated ones.
-            pairs = space.stage(pairs, "met").frame.join(tested, ["a", "b"], "left_anti")
-        wanted = space.stage(pairs, "pairs")
-        if wanted.rows:
-            one = lists.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
-            two = lists.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
-            both = wanted.frame.join(two, "b").join(one, "a")
-            common = F.size(F.array_intersect("s_a", "s_b"))
-            found = both.filter(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
-            found = space.stage(found, "links")
-            tested = wanted.frame if tested is None else tested.unionByName(wanted.frame)
-            if found.rows:
-                links = found.frame if links is None else links.unionByName(found.frame)
-                groups = connected_components(links, space)
-                named = open_.drop("group").join(groups, open_["class"] == groups["node"], "left")
-                members = named.select("key", *_MEMBER, F.coalesce("component", "class").alias("group"))
-                continue
-        members = open_
-    return links
+        more, rows = _verified(_difference_pairs(open_, hubs, lists, space), lists, space)
+        if rows:
+            links, found = links.unionByName(more), found + rows
+    return links if found else None
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

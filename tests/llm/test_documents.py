@@ -99,6 +99,29 @@ def test_jaccard_components_equal_brute_force(spark, documents):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.jaccard(documents.items())
 
 
+@pytest.mark.parametrize(("size", "most"), [(120, 9), (60, 6), (25, 3)])
+def test_changes_of_one_text_are_not_all_paired(spark, monkeypatch, size, most):
+    """Texts that share most shingles and are near the threshold or under it, the text they come from left out."""
+    rng = random.Random(size)
+    base, texts = [f"w{k}" for k in range(size)], []
+    for i in range(160):
+        words = list(texts[-1].split(" ") if i % 5 == 4 else base)
+        for _ in range(rng.randrange(0 if i % 5 == 4 else 1, most + 1)):
+            words[rng.randrange(size)] = f"x{rng.randrange(12) if i % 2 else rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    docs = list(enumerate(texts))
+    verified, formed = ngram_join._verified, []
+
+    def counted(pairs, lists, space):
+        formed.append(space.stage(pairs, "counted").rows)
+        return verified(pairs, lists, space)
+
+    monkeypatch.setattr(ngram_join, "_verified", counted)
+    found = ngram_join.jaccard_components(frame(spark, [(i, t, "a") for i, t in docs]))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute.jaccard(docs)
+    assert sum(formed) < 160 * 159 / 2 / 3
+
+
 def test_jaccard_without_rows_or_ids(spark, edges):
     assert ngram_join.jaccard_components(edges.limit(0)).count() == 0
     named = ngram_join.jaccard_components(edges).collect()

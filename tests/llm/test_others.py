@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfscope.llm import bpe, chat, embedding_join, ngram_join, quality, queries, rollups, urls
+from shelfscope.llm import bpe, chat, embedding_join, quality, queries, rollups, urls
 from shelfscope.llm.components import connected_components
 from shelfscope.staging import Workspace, fresh_path
 
@@ -236,4 +236,3 @@ def test_pipeline_stages_keep_extra_columns(spark):
     for stage in (corpus_pipeline.quality_rules, corpus_pipeline.redact_pii):
         out = stage(spark, docs, SF_DIR)
         assert out.columns == docs.columns and out.select("kept", "pii").distinct().collect() == [("mine", "mine")]
-    assert ngram_join.HUBS[-1] is None
