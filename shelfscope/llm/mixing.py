@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,8 +102,14 @@ def _copies(rate: float, seed: int, key: Column) -> Column:
     def inverse(draw: Column) -> Column:
         return F.size(F.filter(table, lambda p: p <= draw))
 
-    draws = (hashed_uniform(F.lit(f"draw{j}-{seed}"), key) for j in range(parts))
-    return reduce(Column.__add__, map(inverse, draws))
+    if parts == 1:
+        return inverse(hashed_uniform(F.lit(f"draw0-{seed}"), key))
+
+    def draw(total: Column, j: Column) -> Column:
+        return total + inverse(hashed_uniform(F.concat(F.lit("draw"), j.cast("string"), F.lit(f"-{seed}")), key))
+
+    # However many draws a high rate takes, the plan holds one of them, and one table.
+    return F.aggregate(F.sequence(F.lit(0), F.lit(parts - 1)), F.lit(0), draw)
 
 
 def mix_sources(

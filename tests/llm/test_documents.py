@@ -1,5 +1,6 @@
 """Operators on documents against brute force, and their edge cases."""
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -48,6 +49,22 @@ def test_mixing_reaches_its_weights_and_keeps_edge_rows(spark, edges):
     assert mixing.mix_sources(edges.limit(0), mixing.Target({"a": 1.0}, rest=1.0)).count() == 0
 
 
+def test_high_rates_are_sums_of_draws_in_a_small_plan(spark):
+    docs = spark.range(200).select(F.col("id").alias("doc_id"))
+    rate, parts = 3000.0, math.ceil(3000.0 / mixing.MAX_MEAN)
+    table = mixing.poisson_table(rate / parts)
+
+    def drawn(j, i):
+        number = int(hashlib.md5(f"draw{j}-5:{i}".encode()).hexdigest()[: mixing.DRAW_DIGITS], 16) / 16**mixing.DRAW_DIGITS
+        return sum(p <= number for p in table)
+
+    copies = docs.select("doc_id", mixing._copies(rate, 5, F.col("doc_id")).alias("copies"))
+    assert len(copies._jdf.queryExecution().analyzed().toString()) < 20_000
+    got = {r.doc_id: r.copies for r in copies.collect()}
+    assert got == {i: sum(drawn(j, i) for j in range(parts)) for i in range(200)}
+    assert sum(got.values()) / 200 == pytest.approx(rate, rel=0.01)
+
+
 def test_poisson_table_is_the_distribution():
     table = mixing.poisson_table(2.5)
     assert table[3] == pytest.approx(sum(math.exp(-2.5) * 2.5**k / math.factorial(k) for k in range(4)))
