@@ -26,7 +26,7 @@ from .items import (
     top_competitor_items,
 )
 from .merge import as_of, commit_timeline, merge, merge_summary, reconcile, replace_keys, without_keys
-from .pairs import missing_items, seller_item_pairs
+from .pairs import missing_counts, missing_items, seller_item_pairs
 from .quality import (
     check_quality,
     failed_codes,
@@ -62,6 +62,7 @@ __all__ = [
     "latest_per_key",
     "merge",
     "merge_summary",
+    "missing_counts",
     "missing_items",
     "reason_counts",
     "reconcile",

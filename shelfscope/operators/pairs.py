@@ -12,6 +12,9 @@ One plan serves lists of any length. Slots are numbered inside chunks, so no
 numbering task grows with the list and no bitmap exceeds a chunk. The expansion
 looks items up in a broadcast of counted size: a list of up to ``PART_ROWS`` rows
 is one part, a longer one several, each expanded by the same plan.
+
+Who only wants to know how much each seller lacks, and what first, needs no pairs at all:
+``missing_counts`` works on what sellers hold, which is no more than the catalog.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..staging import Staged, stage
+from .ranking import first_per_group
 
 #: Rows of the list in a chunk, on average.
 CHUNK_ITEMS = 16_384
@@ -164,3 +168,40 @@ def seller_item_pairs(seller_catalog: DataFrame, items: DataFrame) -> DataFrame:
     sellers = seller_catalog.select("seller_id", *(F.lit(None).cast(t).alias(n) for n, t in nothing.items())).distinct()
     stock = stage(sellers, "sellers", sellers=F.approx_count_distinct("seller_id"))
     return expand_open_slots(stock, slotted, slotted.frame)
+
+
+def missing_counts(seller_catalog: DataFrame, items: DataFrame) -> DataFrame:
+    """Of the rows of :func:`missing_items` per seller: their number, their distinct items and the least item.
+
+    No pair of a seller and an item that it lacks is made. The counts are the list's less what
+    the seller holds. Items have places in the order of their ids; the least that is lacking
+    follows a held place or is the first, and it comes at most one place after as many as the
+    seller holds, so only held places up to that number are looked at. Sellers that lack
+    nothing have no row.
+    """
+    per_item = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("rows"))
+    listed = stage(per_item, "list", total=F.coalesce(F.sum("rows"), F.lit(0)), named=F.count("item_id"))
+    named = listed.figures["named"]
+    ranked = first_per_group(listed.frame.filter("item_id IS NOT NULL"), [], ["item_id"], named, "place")
+    places = stage(ranked.withColumn("place", F.col("place").cast("bigint")), "places").frame
+    # A NULL seller holds nothing, as it equals no seller; all sellers keep a row.
+    pairs = seller_catalog.select("seller_id", "item_id").distinct().join(places, "item_id", "left")
+    known = F.col("seller_id").isNotNull()
+    held = stage(pairs.select("seller_id", *(F.when(known, F.col(c)).alias(c) for c in ("place", "rows"))), "held").frame
+    counts = held.groupBy("seller_id").agg(
+        (F.lit(listed.figures["total"]) - F.coalesce(F.sum("rows"), F.lit(0))).alias("variants"),
+        F.count("place").alias("n_held"),
+    )
+    counts = stage(counts, "held-counts").frame
+    near = held.join(counts.select("seller_id", "n_held"), "seller_id").filter("place <= n_held")
+    near = stage(near.select("seller_id", "place"), "near").frame
+    followers = near.select("seller_id", (F.col("place") + 1).alias("place"))
+    candidates = counts.withColumn("place", F.lit(1).cast("bigint")).unionByName(followers, allowMissingColumns=True)
+    lacking = candidates.join(near.withColumn("taken", F.lit(True)), ["seller_id", "place"], "left")
+    per_seller = lacking.groupBy("seller_id").agg(
+        F.max("variants").alias("variants"),
+        (F.lit(named) - F.max("n_held")).alias("items"),
+        F.min(F.when(F.col("taken").isNull(), F.col("place"))).alias("place"),
+    )
+    first = places.select("place", F.col("item_id").alias("first_item"))
+    return per_seller.filter("variants > 0").join(first, "place", "left").select("seller_id", "variants", "items", "first_item")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from conformance.fixtures import fixture
+from conformance.queries import QUERIES
 from shelfscope import operators as ops
 from shelfscope import plans, sinks
 from shelfscope.operators import pairs, ranking, skew
@@ -136,6 +137,29 @@ def test_missing_items_and_all_pairs(spark, monkeypatch):
         assert _rows(missing.select("seller_id", *top.columns)) == want_missing
 
 
+@pytest.mark.parametrize("n_items", [12, 1500])
+def test_missing_counts_are_those_of_the_pairs(spark, n_items):
+    rng = random.Random(n_items)
+    rows = [(s, f"I{i}", f"v{rng.randint(1, 2)}") for s in ("S1", "S2", None) for i in rng.sample(range(n_items), n_items // 3)]
+    rows += [("all", f"I{i}", "v1") for i in range(n_items)] + [("all", None, "v1")]
+    rows += [("S3", None, "v2"), ("S4", "I0", "v1"), ("S4", "I0", "v1")] + [("S5", f"I{i}", "v1") for i in (0, 1, 11)]
+    catalog = spark.createDataFrame(rows, "seller_id string, item_id string, item_name string").withColumn("category", F.lit("c"))
+    # One listed item is in no catalog; rows without an id are lacking everywhere.
+    listed = ops.catalog_variants(catalog).unionByName(spark.createDataFrame([("I1x", "c", "v")], "item_id string, category string, item_name string"))
+    for items in (listed, listed.filter("item_id IS NULL")):
+        counted = ops.missing_items(catalog, items).groupBy("seller_id").agg(
+            F.count(F.lit(1)).alias("variants"), F.count_distinct("item_id").alias("items"), F.min("item_id").alias("first_item")
+        )
+        got = ops.missing_counts(catalog, items)
+        assert got.columns == counted.columns
+        assert sorted(got.collect(), key=str) == sorted(counted.collect(), key=str)
+
+
+def test_counting_missing_variants_makes_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "expand_open_slots", lambda *_: pytest.fail("pairs of sellers and items were made"))
+    assert QUERIES["missing_catalog_variants"](spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_empty_inputs_give_empty_reports(spark):
     catalog, company, competitor = (df.limit(0) for df in _small(spark))
     found = plans.recommend(catalog, company, competitor)
