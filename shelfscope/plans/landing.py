@@ -58,7 +58,8 @@ def run_landing(
         as_of=as_of,
         metrics_path=f"{root}/metrics",
     )
-    UniqueRows(spark, f"{root}/unique").add(run.table, new[-1])
+    # The trusted table was de-duplicated when it was written.
+    UniqueRows(spark, f"{root}/unique").add(run.table, new[-1], distinct=True)
     summary = table.upsert(run.table, places["commits"], new[-1])
     done = spark.createDataFrame([(b,) for b in new], _DONE).coalesce(1)
     done.write.mode("append").json(places["taken"])

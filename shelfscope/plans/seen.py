@@ -35,20 +35,23 @@ class UniqueRows:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def add(self, rows: DataFrame, batch: str) -> int:
+    def add(self, rows: DataFrame, batch: str, distinct: bool = False) -> int:
         """Keep the rows of a batch that no other batch has; return their number.
 
+        ``distinct`` says that ``rows`` is a written table without equal rows: it is then
+        neither shuffled nor written again, its fingerprints are taken as it is read.
         The same batch again replaces itself: its own fingerprints do not count, and they are
         written last, so a run that died between rows and fingerprints repeats both.
         """
-        marked = stage(with_fingerprint(drop_exact_duplicates(rows)), "marked")
-        own = marked.frame.select(*_PRINT)
+        staged = [] if distinct else [stage(with_fingerprint(drop_exact_duplicates(rows)), "marked")]
+        marked = with_fingerprint(rows) if distinct else staged[0].frame
+        own = marked.select(*_PRINT)
         seen = self._fingerprints().filter(F.col("batch_id") != batch)
         known = stage(seen.join(own, list(_PRINT), "left_semi").select(*_PRINT).distinct(), "known")
-        new = stage(marked.frame.join(known.frame, list(_PRINT), "left_anti"), "new")
+        new = stage(marked.join(known.frame, list(_PRINT), "left_anti"), "new")
         write_table(new.frame.drop(*_PRINT), f"{self.path}/rows/batch_id={batch}")
         write_table(new.frame.select(*_PRINT), f"{self.path}/prints/batch_id={batch}")
-        for used in (marked, known, new):
+        for used in (*staged, known, new):
             used.drop()
         return new.rows
 

@@ -4,11 +4,14 @@ import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfscope import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG
 from shelfscope import operators as ops
 from shelfscope import plans, sources, streaming
+from shelfscope.plans import seen
 from shelfscope.sinks import reports
+from shelfscope.sources import files
 
 HEADER = "item_id,units_sold,revenue,sale_date"
 
@@ -280,6 +283,24 @@ def test_landing_run_is_repeatable(spark, tmp_path, monkeypatch):
     assert sorted((r.item_id, r.units_sold) for r in before.collect()) == [("I1", 1), ("I2", 1)]
 
 
+def test_landing_run_removes_duplicates_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(seen, "drop_exact_duplicates", lambda rows: pytest.fail("trusted rows were de-duplicated again"))
+    lines = ["I1,1,1.0,2025-01-01", "I1,1,1.0,2025-01-01", "I2,2,2.0,2025-01-01"]
+    for name, chosen in (("a.csv", lines), ("b.csv", [*lines, "I1,2,1.0,2025-01-01"])):
+        _put(tmp_path / "landing", name, [HEADER, *chosen])
+        plans.run_landing(spark, COMPANY_SALES, str(tmp_path), buckets=2)
+    rows = plans.UniqueRows(spark, f"{tmp_path}/unique").read(COMPANY_SALES.typed_schema).collect()
+    assert sorted((r["item_id"], r["units_sold"]) for r in rows) == [("I1", 1), ("I1", 2), ("I2", 2)]
+
+
+def test_paths_have_one_form(spark):
+    paths = ["file:/a/b", "file:///a/b", "file:////a", "file:a", "hdfs://h/a+b", "hdfs://h/a%2Bb%20c", "file:///a%20/é+%25", "/a//b", "%66ile:///a", None]
+    frame = spark.createDataFrame([(path,) for path in paths], "path string")
+    decoded = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    want = frame.select(F.regexp_replace(decoded, r"^file:/+", "file:/")).collect()
+    assert frame.select(files.plain_path(F.col("path"))).collect() == want
+
+
 def test_unique_rows_over_batches(spark, tmp_path):
     unique = plans.UniqueRows(spark, str(tmp_path / "u"))
     schema = COMPANY_SALES.typed_schema
