@@ -58,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, their count, and digests of the ids and of what they decode to."""
-    return token_digests(spark, docs.select("doc_id", "lang", "source", "text"))
+    return token_digests(docs.select("doc_id", "lang", "source", "text"))
 
 
 STAGES = [

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..staging import Workspace, fresh_path, stage
+from ..staging import Workspace, fresh_path
 from . import bpe, chat, divergence, embedding_join, hard_negatives, mixing, ngram_join, pii, quality, rollups, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,34 +136,14 @@ def public_vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.from_ranks_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-@contextmanager
-def short_plan_texts(spark: SparkSession) -> Iterator[None]:
-    """Keep the literal rank map, a megabyte, out of the plan texts that the driver stores at every update.
-
-    Whatever runs inside must also end inside: the setting is as before when it is left.
-    """
-    name = "spark.sql.maxPlanStringLength"
-    before = spark.conf.getAll.get(name)
-    spark.conf.set(name, "20000")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
-def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with its texts encoded and decoded, as digests, in a written table without the rank map in its plan."""
-    vocabulary = public_vocabulary()
-    with short_plan_texts(spark):
-        return stage(bpe.token_digest(bpe.encode_texts(docs, vocabulary), vocabulary), "token-digests").frame
+def token_digests(docs: DataFrame) -> DataFrame:
+    """``docs`` with its texts encoded and decoded, as digests."""
+    return bpe.token_digests(docs, public_vocabulary())
 
 
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query

@@ -1,12 +1,16 @@
 """Embeddings, conversations, URLs, tokens and rollups, with their edge cases."""
 
 import base64
+import hashlib
 import random
 
 import duckdb  # noqa: F401
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -163,6 +167,63 @@ def test_bpe_equals_the_reference_encoder(spark, tmp_path, reference_encoder, fo
         assert bytes(r.bytes) == by_id[r.doc_id].encode()
 
 
+def _words_of(texts):
+    block = bpe._Block([pa.array(texts, pa.string())], [pa.record_batch({"i": pa.array(range(len(texts)))})], queries.public_vocabulary())
+    words, codes, lengths = block.words()
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    spelled = [words.take(pa.array(codes[a:b])).to_pylist() for a, b in zip(ends, ends[1:], strict=False)]
+    return dict(zip(block.carried["i"].to_pylist(), spelled, strict=True))
+
+
+def test_bpe_words_are_the_matches_of_the_pattern():
+    rng = random.Random(2)
+    texts = ["", None, " ", "a b", " a  b ", "x\u00a0 y", "don't 'tis it's' 's", "\u00d7 a\u00d7b \u00e9t\u00e9. \u6f22\u5b57! 12a a12 a_b, _a", "a\x1c b \x85 c"]
+    texts += ["".join(rng.choice("abst' .,!\n\u00e9\u00d7\u6f22\u0416\u01305\u00a0\x1f\U0001f642") for _ in range(60)) for _ in range(300)]
+    found = regex.compile(public_tokenizers.PATTERN)
+    assert _words_of(texts) == {i: found.findall(t or "") for i, t in enumerate(texts)}
+
+
+def test_bpe_spells_plain_words_without_a_scan(monkeypatch):
+    monkeypatch.setattr(bpe._Block, "_scan", lambda self, part: 1 / 0)
+    assert _words_of(["Only plain words, here."]) == {0: ["Only", " plain", " words", ",", " here", "."]}
+
+
+def test_bpe_white_space_and_letters_for_arrow():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    white = [c for c in every if regex.match(r"\s", c)]
+    assert pc.all(pc.match_substring_regex(pa.array(white), bpe._WHITE)).as_py()
+    plain = pc.match_substring_regex(pa.array(every), bpe._PLAIN_PART).to_pylist()
+    assert all(regex.fullmatch(r"\p{L}", c) for c, is_plain in zip(every, plain, strict=True) if is_plain)
+    assert public_tokenizers.PATTERN == bpe.PLAIN_PATTERN
+
+
+def test_bpe_over_some_blocks(spark, tmp_path, reference_encoder):
+    """Every file is a block of its own, so that the words that they share are folded."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcde\u00e9\u6f22") for _ in range(rng.randint(1, 30))) for _ in range(40)] + ["z" * 64, "z" * 65, "\x00\x00"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(50))) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    digests = bpe.token_digests(docs, queries.public_vocabulary()).collect()
+    given = bpe.encode_texts(docs, queries.public_vocabulary(), fold_from=1, give=("decoded", "ids_text", "n_tokens", "token_ids")).collect()
+    ids = {i: reference_encoder.encode_ordinary(t) for i, t in rows}
+    listed = {i: ",".join(map(str, one)) for i, one in ids.items()}
+    assert {r.doc_id: (r.n_tokens, r.ids_text, list(r.token_ids), bytes(r.decoded)) for r in given} == {
+        i: (len(ids[i]), listed[i], ids[i], t.encode()) for i, t in rows
+    }
+    assert {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in digests} == {
+        (i, len(ids[i]), hashlib.sha256(listed[i].encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows
+    }
+
+
+def test_bpe_plans_hold_no_vocabulary(spark):
+    """The driver keeps a plan's text for every query, and writes it anew at every update."""
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    plan = bpe.token_digests(docs, queries.public_vocabulary())._jdf.queryExecution()
+    assert len(plan.analyzed().toString()) < 50_000
+    assert len(plan.executedPlan().toString()) < 50_000
+
+
 def test_rollup_is_additive_and_commits_once(spark):
     def side(source, tokens):
         return (source, "en", "v1", tokens)
